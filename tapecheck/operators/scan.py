@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ROWS_PER_SLICE = 4_000_000
+ROWS_PER_SLICE = 200_000
 MAX_SLICES = 16_384
 _LOWEST = -(2**63)
 
