@@ -51,3 +51,8 @@ def arrival_key(event_ms: Column | str, seq: Column | str) -> Column:
     the year 2248).
     """
     return F.shiftleft(_col(event_ms).cast("bigint"), 20) + _col(seq).cast("bigint")
+
+
+def utc_now() -> Column:
+    """Current UTC wall-clock, whatever the session zone is."""
+    return wall_clock(F.unix_millis(F.current_timestamp()))

@@ -56,10 +56,10 @@ def partial_candles(trades: DataFrame, window_ms: int) -> DataFrame:
     )
 
 
-def merge_partials(partials: DataFrame, window_ms: int | None = None, extra: list[str] | None = None) -> DataFrame:
+def merge_partials(partials: DataFrame, window_ms: int | None = None, also: list[Column] | None = None) -> DataFrame:
     """Combine partials of the same window; a larger ``window_ms`` rolls them up."""
     width = F.col("window_ms") if window_ms is None else bucket_start("window_ms", window_ms)
-    return partials.groupBy("symbol", width.alias("window_ms"), *(extra or [])).agg(
+    return partials.groupBy("symbol", width.alias("window_ms")).agg(
         F.min("open_key").alias("open_key"),
         F.max("close_key").alias("close_key"),
         F.min_by("open", "open_key").alias("open"),
@@ -68,6 +68,7 @@ def merge_partials(partials: DataFrame, window_ms: int | None = None, extra: lis
         F.max_by("close", "close_key").alias("close"),
         F.sum("volume").cast("decimal(18,8)").alias("volume"),
         F.sum("trade_count").alias("trade_count"),
+        *(also or []),
     )
 
 

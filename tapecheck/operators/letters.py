@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapecheck.functions.numbers import price_of, volume_of
+from tapecheck.functions.timecols import text as time_text, utc_now
 from tapecheck.schema import WIRE_TRADE
 from tapecheck.sources.frames import is_blank
 
@@ -59,7 +60,7 @@ def dead_letters(classified: DataFrame, job_run: str, seen_at: Column | None = N
     """Dropped records with their reason and (cut) payload."""
     known = F.when(F.col("reason").isin("missing-field", "malformed-number"), F.col("t.symbol")).otherwise(F.lit(""))
     return classified.filter(F.col("reason").isNotNull()).select(
-        (seen_at if seen_at is not None else F.to_timestamp_ntz(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("string"))).alias("seen_at"),
+        (seen_at if seen_at is not None else utc_now()).alias("seen_at"),
         F.lit("deserialize").alias("stage"),
         "reason",
         F.coalesce(known, F.lit("")).alias("symbol"),
@@ -92,8 +93,6 @@ def dead_letter_summary(letters: DataFrame) -> DataFrame:
     The exact distinct count and the sample are reduced per (stage, reason, symbol) first, so a
     reason that makes up most of the table is spread over tasks.
     """
-    from tapecheck.functions.timecols import text
-
     sample = F.substring("payload", 1, SAMPLE_CHARS)
     per_symbol = letters.groupBy("stage", "reason", "symbol").agg(
         F.count(F.lit(1)).alias("n"), F.min("seen_at").alias("t0"), F.max("seen_at").alias("t1"),
@@ -102,7 +101,7 @@ def dead_letter_summary(letters: DataFrame) -> DataFrame:
     return per_symbol.groupBy("stage", "reason").agg(
         F.sum("n").alias("dropped"),
         F.count(F.lit(1)).alias("symbols"),
-        text(F.min("t0")).alias("first_seen"),
-        text(F.max("t1")).alias("last_seen"),
+        time_text(F.min("t0")).alias("first_seen"),
+        time_text(F.max("t1")).alias("last_seen"),
         F.min("s").alias("s"),
     ).select("stage", "reason", "dropped", "symbols", "first_seen", "last_seen", F.col("s.p").alias("sample"))

@@ -20,7 +20,7 @@ TRADES = """trades AS (
   FROM events)"""
 
 DISORDERED = """disordered AS (
-  SELECT * REPLACE (event_ms + (event_id * 37) % 14400000 AS ingest_ms) FROM trades)"""
+  SELECT * REPLACE (event_ms + (event_id * 2654435) % 14400000 AS ingest_ms) FROM trades)"""
 
 ARCHIVE = """archive AS (
   SELECT * FROM trades WHERE event_id % 211 <> 0

@@ -18,8 +18,12 @@ TWICE_EVERY = 307
 
 
 def events_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One trade per event. No shuffle: every field is computed from the row itself."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "event_type", "value")
+    return trades_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def trades_from_events(events: DataFrame) -> DataFrame:
+    """One trade per event, batch or stream. No shuffle: every field comes from the row itself."""
+    e = events.select("event_id", "ts", "event_type", "value")
     i = F.col("event_id")
     synth = i % 50 == 0
     return (
@@ -44,7 +48,7 @@ def events_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def disordered(trades: DataFrame) -> DataFrame:
     """The same trades with arrival delays of up to four hours, so that order really breaks."""
-    return trades.withColumn("ingest_ms", F.col("event_ms") + (F.col("event_id") * 37) % 14_400_000)
+    return trades.withColumn("ingest_ms", F.col("event_ms") + (F.col("event_id") * 2_654_435) % 14_400_000)
 
 
 def boundary_shifted(trades: DataFrame, window_ms: int = HOUR_MS, head_ms: int = 600_000) -> DataFrame:

@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from tapecheck.functions.timecols import utc_now
 from tapecheck.sources.stores import with_day
 
 CANDLE_COLUMNS = ["symbol", "window_start", "open", "high", "low", "close", "volume", "trade_count", "ingested_at", "run_id"]
 
 
-def utc_now() -> Column:
-    """Current UTC wall-clock, whatever the session zone is."""
-    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
-        secs=(F.unix_micros(F.current_timestamp()) / F.lit(1_000_000).cast("decimal(18,6)")).cast("decimal(18,6)")
-    )
-
-
 def candle_row(candles: DataFrame, run_id: str | None = None) -> DataFrame:
     """Full candle row: run_id is required ('' when unknown), the write time is now."""
     have = candles.columns
@@ -79,8 +74,6 @@ def with_retries(
 ) -> Callable[[DataFrame, int], None]:
     """Try a few times with growing pauses, then let the query fail so that it replays the batch
     from its checkpoint."""
-    import time
-
     def run(batch: DataFrame, batch_id: int) -> None:
         for n in range(1, attempts + 1):
             try:
