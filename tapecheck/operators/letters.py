@@ -29,8 +29,11 @@ def classify(records: DataFrame, value: str = "value") -> DataFrame:
     numbers are caught here too, before the record fans out to the archive and the fold.
     """
     r = records.filter(F.col(value).isNotNull()).withColumn("value_text", F.col(value).cast("string"))
-    r = r.withColumn("t", F.from_json("value_text", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
-    r = r.withColumns({"price_n": price_of(F.col("t.price")), "volume_n": volume_of(F.col("t.volume"))})
+    parsed = F.from_json("value_text", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    numbers = {"price_n": price_of(F.col("t.price")), "volume_n": volume_of(F.col("t.volume"))}
+    # The generators keep the parse and the number conversion from being copied into every filter.
+    r = r.select("*", F.explode(F.array(parsed)).alias("t"))
+    r = r.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in numbers.items()]))))
     reason = (
         F.when(F.col("t").isNull() | F.col("t._bad").isNotNull(), "malformed-json")
         .when(is_blank(F.col("t.symbol")), "missing-symbol")

@@ -23,8 +23,13 @@ def _(spark, d):
     return cd.candles(dv.events_trades(spark, d), MINUTE_MS)
 
 
+@query("agg1_ohlcv_lineitem_1d", s.with_([s.LINE_TRADES], s.ohlcv("line_trades", DAY_MS)))
+def _(spark, d):
+    return cd.candles(dv.lineitem_trades(spark, d), DAY_MS)
+
+
 @query(
-    "agg1_ohlcv_lineitem_1d",
+    "agg2_exact_ties_lineitem_1d",
     s.with_(
         [s.LINE_TRADES],
         f"""SELECT symbol, make_timestamp((event_ms - event_ms % {DAY_MS}) * 1000) AS window_start,

@@ -12,7 +12,7 @@ from tapecheck.functions.timecols import bucket_start, wall_clock
 from tapecheck.operators import compare as cmp, letters as lt
 from tapecheck.plans import sqlparts as s
 from tapecheck.plans.catalog import query
-from tapecheck.settings import HOUR_MS, CandleSettings, shared_dir
+from tapecheck.settings import DAY_MS, HOUR_MS, CandleSettings, shared_dir
 from tapecheck.sources import derived as dv, derived_text as tx, stores, trades as tr
 from tapecheck.streaming import candles as sc, job, sinks
 from tapecheck.streaming.sequence import SequenceStage
@@ -108,6 +108,25 @@ def _(spark, d):
     return spark.read.parquet(out).drop("day")
 
 
+@query(
+    "str4_stream_lineitem_1d",
+    s.with_(
+        [s.LINE_TRADES, f"c AS ({s.ohlcv('line_trades', DAY_MS)})"],
+        f"SELECT {_COLS} FROM c WHERE epoch_ms(window_start) + {DAY_MS} + 5000 <= (SELECT max(event_ms) FROM line_trades)",
+    ),
+)
+def _(spark, d):
+    # The large keyed stream: the shuffle key is (symbol, window), so few symbols do not cap it.
+    out, ck = shared_dir(spark, "candles"), shared_dir(spark, "ck")
+    session = sc.stream_session(spark)
+    schema = spark.read.parquet(f"{d}/lineitem.parquet").schema
+    lines = session.readStream.schema(schema).parquet(f"{d}/lineitem.parquet*")
+    cfg = CandleSettings(window_ms=DAY_MS, watermark_delay_ms=5_000)
+    store = sinks.by_batch(out)
+    sc.to_batches(sc.window_candles(dv.trades_from_lineitem(lines), cfg), store, ck).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
 def _strict(spark, d, lateness_ms: int = 0) -> StrictCandles:
     cfg = CandleSettings(window_ms=HOUR_MS, watermark_delay_ms=5_000, allowed_lateness_ms=lateness_ms, run_id="r1")
     strict, ck = StrictCandles(shared_dir(spark, "strict"), cfg), shared_dir(spark, "ck")

@@ -97,7 +97,7 @@ LINE_TRADES = """line_trades AS (
   SELECT l_suppkey AS symbol,
          epoch_ms(date_trunc('day', l_shipdate))
            + (l_orderkey * 7919 + l_linenumber * 104729 + l_partkey) % 86400000 AS event_ms,
-         CAST(l_linenumber AS INTEGER) AS seq_in_ms,
+         CAST(l_orderkey % 100000 * 8 + l_linenumber AS INTEGER) AS seq_in_ms,
          CAST(l_extendedprice AS DECIMAL(18,4)) AS price, CAST(l_quantity AS DECIMAL(18,8)) AS volume
   FROM lineitem)"""
 

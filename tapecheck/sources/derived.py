@@ -121,7 +121,11 @@ def own_of(spark: SparkSession, sf_dir: str, window_ms: int = HOUR_MS) -> DataFr
 
 def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The large batch input: one trade per order line, traded in the day it was shipped."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    return trades_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+
+
+def trades_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    li = lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     ms_of_day = F.pmod(
@@ -130,7 +134,7 @@ def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         F.col("l_suppkey").alias("symbol"),
         (F.unix_date(F.to_date("l_shipdate")).cast("bigint") * 86_400_000 + ms_of_day).alias("event_ms"),
-        F.col("l_linenumber").cast("int").alias("seq_in_ms"),
+        ((F.col("l_orderkey") % 100_000) * 8 + F.col("l_linenumber")).cast("int").alias("seq_in_ms"),
         F.col("l_extendedprice").cast("decimal(18,4)").alias("price"),
         F.col("l_quantity").cast("decimal(18,8)").alias("volume"),
     )

@@ -34,38 +34,35 @@ def offset_time_ms(text: Column) -> Column:
     return F.when(text.rlike(_OFFSET_TIME), F.unix_millis(text.try_cast("timestamp")))
 
 
+def parsed_once(df: DataFrame, value: Column, schema: str) -> DataFrame:
+    """Add the fields of a JSON object as columns. The generator keeps the optimizer from copying
+    the parse into every filter and projection that reads one of its fields."""
+    return df.select("*", F.inline(F.array(json_object(value, schema))))
+
+
 def frames(raw: DataFrame, value: str = "value") -> DataFrame:
     """Rows that are frames at all: not empty, not keep-alive text, a JSON object."""
     s = strip(F.col(value))
-    gated = raw.withColumn("_s", s).filter((F.col("_s") != "") & (F.col("_s") != KEEP_ALIVE) & F.col("_s").startswith("{"))
-    parsed = gated.withColumn("frame", json_object(F.col("_s"), _FRAME))
-    return (
-        parsed.filter(F.col("frame").isNotNull() & F.col("frame._bad").isNull())
-        .withColumns({"type": F.coalesce("frame.type", F.lit("unknown")), "topic": F.col("frame.topic"), "data": F.col("frame.data")})
-        .drop("frame", "_s")
-    )
+    gated = raw.filter((s != "") & (s != KEEP_ALIVE) & s.startswith("{"))
+    parsed = parsed_once(gated, strip(F.col(value)), _FRAME).filter(F.col("_bad").isNull()).drop("_bad")
+    return parsed.withColumn("type", F.coalesce("type", F.lit("unknown")))
 
 
 def frame_trades(framed: DataFrame) -> DataFrame:
     """Trades in ``message`` frames; price and volume stay text. Anything incomplete is no trade."""
     parts = F.split(F.regexp_replace(F.coalesce("topic", F.lit("")), ":+$", ""), ":", -1)
-    d = framed.filter((F.col("type") == "message") & strip(F.col("data")).startswith("{")).withColumns(
-        {"d": json_object(F.col("data"), _DATA), "parts": parts}
+    shaped = framed.filter(
+        (F.col("type") == "message")
+        & strip(F.col("data")).startswith("{")
+        & (F.size(parts) == 3)
+        & (F.get(parts, F.lit(0)) == _TRADE_TOPIC)
     )
-    d = d.filter(
-        F.col("d").isNotNull() & (F.size("parts") == 3) & (F.get("parts", F.lit(0)) == _TRADE_TOPIC)
-    ).withColumn("event_ms", offset_time_ms(F.col("d.timestamp")))
+    d = parsed_once(shaped.withColumn("symbol", F.get(parts, F.lit(2))).drop("type", "topic", "rejected"), F.col("data"), _DATA)
     return (
-        d.filter(F.col("event_ms").isNotNull() & ~is_blank(F.col("d.price")) & ~is_blank(F.col("d.volume")))
-        .withColumns(
-            {
-                "symbol": F.get("parts", F.lit(2)),
-                "price": F.col("d.price"),
-                "volume": F.col("d.volume"),
-                "currency": F.coalesce("d.currency", F.lit("")),
-            }
-        )
-        .drop("d", "parts", "type", "topic", "data")
+        d.filter(F.col("_bad").isNull() & ~is_blank(F.col("price")) & ~is_blank(F.col("volume")))
+        .withColumns({"event_ms": offset_time_ms(F.col("timestamp")), "currency": F.coalesce("currency", F.lit(""))})
+        .filter(F.col("event_ms").isNotNull())
+        .drop("data", "timestamp", "_bad")
     )
 
 
