@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapecheck.functions.timecols import arrival_key, bucket_start, epoch_ms, wall_clock
-from tapecheck.operators.scan import last_before, ordered_scan
+from tapecheck.operators.scan import last_before, max_before, ordered_scan, sum_upto
 
 
 def _fold(order: Column) -> list[Column]:
@@ -48,11 +48,11 @@ def candles(
     return out if run_id is None else out.withColumn("run_id", F.lit(run_id))
 
 
-def partial_candles(trades: DataFrame, window_ms: int) -> DataFrame:
+def partial_candles(trades: DataFrame, window_ms: int, also: list[Column] | None = None) -> DataFrame:
     """Candles that can still be merged: they keep the keys of their first and last trade."""
     key = arrival_key("event_ms", "seq_in_ms")
     return trades.groupBy("symbol", bucket_start("event_ms", window_ms).alias("window_ms")).agg(
-        F.min(key).alias("open_key"), F.max(key).alias("close_key"), *_fold(key)
+        F.min(key).alias("open_key"), F.max(key).alias("close_key"), *_fold(key), *(also or [])
     )
 
 
@@ -80,15 +80,27 @@ def finish_partials(partials: DataFrame, run_id: str | None = None) -> DataFrame
     return out if run_id is None else out.withColumn("run_id", F.lit(run_id))
 
 
-def session_candles(trades: DataFrame, gap_seconds: int) -> DataFrame:
+def session_candles(trades: DataFrame, gap_ms: int, rows_per_slice: int | None = None) -> DataFrame:
     """The same fold over sessions that end after a quiet gap.
 
-    Trades are folded per event millisecond first, so the session merge, which has to bring a
-    symbol's stretch of time together, sees far fewer rows than there are trades.
+    Trades that share a time cell of the gap's width are less than a gap apart and so belong to
+    one session. They are folded per cell first (map-side combine), and only cells are linked to
+    sessions: a busy symbol contributes at most one row per cell, however many trades it has.
     """
-    per_ms = partial_candles(trades, 1).withColumn("event_time", wall_clock("window_ms"))
-    s = F.session_window("event_time", f"{gap_seconds} seconds")
-    return per_ms.groupBy("symbol", s.alias("session")).agg(
+    cells = partial_candles(trades, gap_ms, also=[
+        F.min("event_ms").alias("first_ms"), F.max("event_ms").alias("last_ms"),
+    ])
+    linked = ordered_scan(
+        cells, ["symbol"], ["window_ms"], [max_before("previous_ms", "last_ms")], rows_per_slice=rows_per_slice
+    )
+    opens = F.coalesce(F.col("first_ms") - F.col("previous_ms") > gap_ms, F.lit(True)).cast("bigint")
+    numbered = ordered_scan(
+        linked.withColumn("opens", opens), ["symbol"], ["window_ms"], [sum_upto("session", "opens")],
+        rows_per_slice=rows_per_slice,
+    )
+    return numbered.groupBy("symbol", "session").agg(
+        F.min("first_ms").alias("a"),
+        F.max("last_ms").alias("b"),
         F.min_by("open", "open_key").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
@@ -96,7 +108,7 @@ def session_candles(trades: DataFrame, gap_seconds: int) -> DataFrame:
         F.sum("volume").cast("decimal(18,8)").alias("volume"),
         F.sum("trade_count").alias("trade_count"),
     ).select(
-        "symbol", F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"),
+        "symbol", wall_clock("a").alias("session_start"), wall_clock(F.col("b") + gap_ms).alias("session_end"),
         "open", "high", "low", "close", "volume", "trade_count",
     )
 

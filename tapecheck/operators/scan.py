@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_SLICE = 200_000
 MAX_SLICES = 16_384
+_GRID = 512
 _LOWEST = -(2**63)
 
 
@@ -90,6 +91,15 @@ class Slices:
         )
 
 
+def _quantiles(df: DataFrame, column: str, parts: int) -> tuple[int, list[int]]:
+    shares = [k / parts for k in range(1, parts)]
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx(F.col(column).cast("bigint"), shares, F.lit(max(10_000, 20 * parts))).alias("q"),
+    ).first()
+    return row.n, [v for v in (row.q or []) if v is not None]
+
+
 def measure_slices(
     df: DataFrame, order: list[str], rows_per_slice: int | None = None, max_slices: int = MAX_SLICES
 ) -> Slices:
@@ -101,15 +111,16 @@ def measure_slices(
     """
     rows_per_slice = rows_per_slice or ROWS_PER_SLICE
     first = order[0]
-    n = df.count()
+    # One pass gives the row count and a grid of quantiles that most sizes can be cut from.
+    n, grid = _quantiles(df, first, _GRID)
     want = min(max_slices, -(-n // rows_per_slice)) if n else 1
     if want <= 1:
         return Slices(tuple(order))
-    shares = [k / want for k in range(1, want)]
-    row = df.agg(
-        F.percentile_approx(F.col(first).cast("bigint"), shares, F.lit(max(10_000, 20 * want))).alias("q")
-    ).first()
-    found = [v for v in (row.q or []) if v is not None]
+    if want > _GRID:
+        n, grid = _quantiles(df, first, want)
+        found = grid
+    else:
+        found = [grid[max(0, round(k * _GRID / want) - 1)] for k in range(1, want)] if grid else []
     repeats: dict[int, int] = {}
     for v in found:
         repeats[v] = repeats.get(v, 0) + 1

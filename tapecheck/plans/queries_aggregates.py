@@ -249,7 +249,7 @@ _SESS_MS = 7_200_000
     ),
 )
 def _(spark, d):
-    return cd.session_candles(dv.events_trades(spark, d), _SESS_MS // 1000)
+    return cd.session_candles(dv.events_trades(spark, d), _SESS_MS)
 
 
 @query(

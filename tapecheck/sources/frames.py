@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Fixed value: keep-alive answer that is not JSON.
 KEEP_ALIVE = "PONG"
 _SPACE = " \t\r\n\f\v"
-_TRADE_TOPIC = "trade"
+# Three parts, the first of which says trade; the market may be any, closing colons do not count.
+_TRADE_TOPIC = r"^trade:[^:]*:([^:]+):*$"
 # A time without an offset is refused: assuming one would move trades by hours.
 _OFFSET_TIME = r"(?i)^\d{4}-\d{2}-\d{2}T.*(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"
 
@@ -50,14 +51,14 @@ def frames(raw: DataFrame, value: str = "value") -> DataFrame:
 
 def frame_trades(framed: DataFrame) -> DataFrame:
     """Trades in ``message`` frames; price and volume stay text. Anything incomplete is no trade."""
-    parts = F.split(F.regexp_replace(F.coalesce("topic", F.lit("")), ":+$", ""), ":", -1)
-    shaped = framed.filter(
-        (F.col("type") == "message")
-        & strip(F.col("data")).startswith("{")
-        & (F.size(parts) == 3)
-        & (F.get(parts, F.lit(0)) == _TRADE_TOPIC)
+    symbol = F.regexp_extract(F.coalesce("topic", F.lit("")), _TRADE_TOPIC, 1)
+    shaped = (
+        framed.filter((F.col("type") == "message") & strip(F.col("data")).startswith("{"))
+        .withColumn("symbol", symbol)
+        .filter(F.col("symbol") != "")
+        .drop("type", "topic", "rejected")
     )
-    d = parsed_once(shaped.withColumn("symbol", F.get(parts, F.lit(2))).drop("type", "topic", "rejected"), F.col("data"), _DATA)
+    d = parsed_once(shaped, F.col("data"), _DATA)
     return (
         d.filter(F.col("_bad").isNull() & ~is_blank(F.col("price")) & ~is_blank(F.col("volume")))
         .withColumns({"event_ms": offset_time_ms(F.col("timestamp")), "currency": F.coalesce("currency", F.lit(""))})
