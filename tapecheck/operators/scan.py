@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_SLICE = 200_000
 MAX_SLICES = 16_384
-_GRID = 512
+_GRID = 64
 _LOWEST = -(2**63)
 
 
