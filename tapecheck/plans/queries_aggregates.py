@@ -269,3 +269,22 @@ def _(spark, d):
 )
 def _(spark, d):
     return cd.fill_quiet_windows(cd.candles(dv.events_trades(spark, d), HOUR_MS), HOUR_MS)
+
+
+@query(
+    "win6_latest_by_row_number",
+    s.with_(
+        [s.TRADES, s.ARCHIVE, s.mine()],
+        """SELECT symbol, window_start, close, volume, run_id FROM (
+             SELECT *, row_number() OVER (PARTITION BY symbol, window_start ORDER BY ingested_at DESC, run_id DESC) AS rn FROM mine)
+           WHERE rn = 1""",
+    ),
+)
+def _(spark, d):
+    # An aggregate instead of a ranked window: the map side already drops all but one row per key.
+    row = F.struct("close", "volume", "run_id")
+    return (
+        dv.own_of(spark, d).groupBy("symbol", "window_start")
+        .agg(F.max_by(row, F.struct("ingested_at", "run_id")).alias("l"))
+        .select("symbol", "window_start", "l.*")
+    )

@@ -309,3 +309,17 @@ def _(spark, d):
 )
 def _(spark, d):
     return tr.keyed_records(dv.events_trades(spark, d))
+
+
+@query(
+    "snk12_one_file_per_day",
+    s.with_(
+        [s.TRADES, f"c AS ({s.ohlcv('trades', HOUR_MS)})"],
+        "SELECT CAST(window_start AS DATE) AS day, count(*) AS windows, 1::BIGINT AS files FROM c GROUP BY 1",
+    ),
+)
+def _(spark, d):
+    # Candles are small: rows of one day go to one writer, days are spread over the writers.
+    path = stores.write_by_day(cd.candles(dv.events_trades(spark, d), HOUR_MS), "window_start", "candles_1m", writers=8)
+    rows = stores.read_days(spark, path).withColumn("file", F.input_file_name())
+    return rows.groupBy("day").agg(F.count(F.lit(1)).alias("windows"), F.countDistinct("file").alias("files"))

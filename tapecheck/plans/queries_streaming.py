@@ -108,25 +108,52 @@ def _(spark, d):
     return spark.read.parquet(out).drop("day")
 
 
-@query(
-    "str4_stream_lineitem_1d",
-    s.with_(
-        [s.LINE_TRADES, f"c AS ({s.ohlcv('line_trades', DAY_MS)})"],
-        f"SELECT {_COLS} FROM c WHERE epoch_ms(window_start) + {DAY_MS} + 5000 <= (SELECT max(event_ms) FROM line_trades)",
-    ),
-)
-def _(spark, d):
-    # The large keyed stream: the shuffle key is (symbol, window), so few symbols do not cap it.
+def _stream_lineitem(spark, d, symbol: str):
     out, ck = shared_dir(spark, "candles"), shared_dir(spark, "ck")
     session = sc.stream_session(spark)
     schema = spark.read.parquet(f"{d}/lineitem.parquet").schema
     lines = session.readStream.schema(schema).parquet(f"{d}/lineitem.parquet*")
     cfg = CandleSettings(window_ms=DAY_MS, watermark_delay_ms=5_000)
-    store = sinks.by_batch(out)
-    sc.to_batches(sc.window_candles(dv.trades_from_lineitem(lines), cfg), store, ck).awaitTermination()
+    candles = sc.window_candles(dv.trades_from_lineitem(lines, symbol), cfg)
+    sc.to_batches(candles, sinks.by_batch(out), ck).awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
 
 
+def _stream_lineitem_sql(symbol: str) -> str:
+    lines = s.LINE_TRADES.replace("l_suppkey AS symbol", f"{symbol} AS symbol")
+    return s.with_(
+        [lines, f"c AS ({s.ohlcv('line_trades', DAY_MS)})"],
+        f"SELECT {_COLS} FROM c WHERE epoch_ms(window_start) + {DAY_MS} + 5000 <= (SELECT max(event_ms) FROM line_trades)",
+    )
+
+
+@query("str4_stream_many_symbols", _stream_lineitem_sql("l_suppkey"))
+def _(spark, d):
+    return _stream_lineitem(spark, d, "l_suppkey")
+
+
+@query("str4_stream_few_symbols", _stream_lineitem_sql("l_linenumber"))
+def _(spark, d):
+    # Seven symbols: the state and shuffle key is (symbol, window), so they do not cap the tasks.
+    return _stream_lineitem(spark, d, "l_linenumber")
+
+
+@query(
+    "src3_new_partition_pickup",
+    s.with_([s.TRADES], "SELECT kafka_partition, count(*) AS trades FROM trades GROUP BY 1"),
+)
+def _(spark, d):
+    # One partition appears only after the query has been running on the others.
+    landing, out, ck = (shared_dir(spark, x) for x in ("landing", "trades", "ck"))
+    session = sc.stream_session(spark)
+    records = _records(dv.events_trades(spark, d))
+    for part in (F.col("partition") < 2, F.col("partition") >= 2):
+        job.land_block(records.filter(part), landing)
+        stream = lt.good_trades(lt.classify(tr.landed_stream(session, landing)))
+        sc.to_files(dv.stored_trades(stream), out, ck, "event_time").awaitTermination()
+    return spark.read.parquet(out).groupBy("kafka_partition").agg(F.count(F.lit(1)).alias("trades"))
+
+
 def _strict(spark, d, lateness_ms: int = 0) -> StrictCandles:
     cfg = CandleSettings(window_ms=HOUR_MS, watermark_delay_ms=5_000, allowed_lateness_ms=lateness_ms, run_id="r1")
     strict, ck = StrictCandles(shared_dir(spark, "strict"), cfg), shared_dir(spark, "ck")

@@ -124,7 +124,7 @@ def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trades_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
-def trades_from_lineitem(lineitem: DataFrame) -> DataFrame:
+def trades_from_lineitem(lineitem: DataFrame, symbol: str = "l_suppkey") -> DataFrame:
     li = lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     )
@@ -132,7 +132,7 @@ def trades_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104729 + F.col("l_partkey"), F.lit(86_400_000)
     )
     return li.select(
-        F.col("l_suppkey").alias("symbol"),
+        F.col(symbol).alias("symbol"),
         (F.unix_date(F.to_date("l_shipdate")).cast("bigint") * 86_400_000 + ms_of_day).alias("event_ms"),
         ((F.col("l_orderkey") % 100_000) * 8 + F.col("l_linenumber")).cast("int").alias("seq_in_ms"),
         F.col("l_extendedprice").cast("decimal(18,4)").alias("price"),

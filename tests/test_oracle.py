@@ -6,7 +6,7 @@ from __spark_entry__ import oracle_sql, queries
 from tests.oracle import connect, differences
 
 # Streams run for several batches each; a few stand for all of them here.
-STREAMS = {n for n in queries() if n.startswith(("src1_", "str4", "str5", "str6", "str7", "str9", "str12", "str18", "snk1_", "snk3", "snk4", "snk5", "exp7", "exp8"))}
+STREAMS = {n for n in queries() if n.startswith(("src1_", "src3", "str4", "str5", "str6", "str7", "str9", "str12", "str18", "snk1_", "snk3", "snk4", "snk5", "exp7", "exp8"))}
 RUN = {"str6_allowed_lateness", "str7_late_letters", "exp7_crash_between_write_and_commit", "exp8_restart_modes"}
 
 
