@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 
@@ -21,3 +23,14 @@ def price_of(text: Column) -> Column:
 
 def volume_of(text: Column) -> Column:
     return parse_decimal(text, 8)
+
+
+def volume_sum(volume: str = "volume") -> Column:
+    """Exact sum of a DECIMAL(18,8), added up as whole 10^-8 units in a BIGINT.
+
+    Spark widens a decimal sum to DECIMAL(28,8), which no longer fits a long and makes every row's
+    addition a BigDecimal one. A sum too large for the BIGINT does not fit DECIMAL(18,8) either and
+    is an error, not a wrong number.
+    """
+    units = (F.col(volume) * F.lit(100_000_000).cast("decimal(9,0)")).cast("bigint")
+    return (F.sum(units) * F.lit(Decimal("0.00000001"))).cast("decimal(18,8)")

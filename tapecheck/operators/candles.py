@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tapecheck.functions.numbers import volume_sum
 from tapecheck.functions.timecols import arrival_key, bucket_start, epoch_ms, wall_clock
 from tapecheck.operators.scan import last_before, max_before, ordered_scan, sum_upto
 
@@ -14,7 +15,7 @@ def _fold(order: Column) -> list[Column]:
         F.max("price").alias("high"),
         F.min("price").alias("low"),
         F.max_by("price", order).alias("close"),
-        F.sum("volume").cast("decimal(18,8)").alias("volume"),
+        volume_sum().alias("volume"),
         F.count(F.lit(1)).alias("trade_count"),
     ]
 

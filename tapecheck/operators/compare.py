@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tapecheck.functions.numbers import volume_sum
 from tapecheck.functions.timecols import bucket_start, epoch_ms, kst_text, wall_clock
 from tapecheck.operators.dedup import latest_candles, latest_official
 from tapecheck.schema import OHLCV
@@ -149,7 +150,7 @@ def volume_recheck(trades: DataFrame, own: DataFrame, window_ms: int) -> DataFra
     lost nothing, whatever the official candle says."""
     raw = (
         trades.groupBy("symbol", bucket_start("event_ms", window_ms).alias("window_ms"))
-        .agg(F.sum("volume").cast("decimal(18,8)").alias("raw_volume"))
+        .agg(volume_sum().alias("raw_volume"))
         .select("symbol", wall_clock("window_ms").alias("window_start"), "raw_volume")
     )
     return raw.join(latest_candles(own).select(*KEY, F.col("volume").alias("candle_volume")), KEY).withColumn(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tapecheck.functions.numbers import volume_sum
 from tapecheck.functions.timecols import arrival_key, wall_clock
 from tapecheck.settings import CandleSettings
 from tapecheck.sources.stores import with_day
@@ -36,7 +37,7 @@ def window_candles(trades: DataFrame, cfg: CandleSettings) -> DataFrame:
             F.max("price").alias("high"),
             F.min("price").alias("low"),
             F.max_by("price", key).alias("close"),
-            F.sum("volume").cast("decimal(18,8)").alias("volume"),
+            volume_sum().alias("volume"),
             F.count(F.lit(1)).alias("trade_count"),
         )
         .select("symbol", wall_clock(F.unix_millis("w.start")).alias("window_start"), "open", "high", "low", "close", "volume", "trade_count")
