@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapecheck.llm import copies, exact, leaks, lines, mixing, quality
+from tapecheck.llm import copies, exact, leaks, lines, mixing, pages, quality, tokens, toxicity
 from tapecheck.llm.tables import keyed, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,20 @@ ORACLE["op10_exact_dedup"] = r"""
            doc_id = first_value(doc_id) OVER w AS kept, text_sha256
     FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """
+
+
+@query
+def op3_nearest_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
