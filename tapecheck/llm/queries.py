@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapecheck.llm import copies, exact, leaks, lines, mixing, pages, quality, tokens, toxicity
+from tapecheck.llm import copies, exact, leaks, lines, mixing, pages, private, quality, tokens, toxicity
 from tapecheck.llm.tables import keyed, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.personal_data(table(spark, sf_dir, "documents"))
