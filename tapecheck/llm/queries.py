@@ -107,3 +107,30 @@ def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.personal_data(table(spark, sf_dir, "documents"))
+
+
+def _words(text: str) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+ORACLE["op7_decontamination"] = f"""
+    WITH docs AS (SELECT doc_id, {_words("text")} AS w FROM documents),
+    items AS (SELECT item_id, {_words("text")} AS w FROM benchmark WHERE item_id IS NOT NULL),
+    windows AS (
+        SELECT DISTINCT item_id, len(x) AS l, x FROM (
+            SELECT item_id, list_slice(w, i, i + least(10, len(w)) - 1) AS x
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0))),
+    placed AS (
+        SELECT doc_id, l, i, list_slice(w, i, i + l - 1) AS x FROM (
+            SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i
+            FROM docs, (SELECT DISTINCT l FROM windows) WHERE len(w) >= l)),
+    found AS (SELECT doc_id, i, placed.l AS l, item_id FROM placed JOIN windows USING (x)),
+    hits AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM found) GROUP BY 1),
+    ids AS (
+        SELECT doc_id, count(*) AS n, string_agg(v, ',' ORDER BY v) AS v
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS v FROM found) GROUP BY 1)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(ids.n, 0) AS n_items,
+           sha256(coalesce(ids.v, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
