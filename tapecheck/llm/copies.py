@@ -179,4 +179,4 @@ def near_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = near_duplicates(own, threshold)
     stay = classes.where("k1 = class_k1 and k2 = class_k2").select("k1", "k2").distinct()
     once = Window.partitionBy("k1", "k2").orderBy(F.lit(1))
-    return own.join(stay, ["k1", "k2"]).withColumn("_n", F.row_number().over(once)).where("_n = 1").select(*docs.columns)
+    return own.join(stay, ["k1", "k2"]).withColumn("_n", F.row_number().over(once)).where("_n = 1").select("row.*")

@@ -187,7 +187,7 @@ def line_dedup(docs: DataFrame, threshold: float = THRESHOLD, min_words: int = M
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     out = own.join(gone, ["k1", "k2"], "left").select(
-        *[docs[c] for c in docs.columns if c not in ("text", "n_lines", "n_removed")],
+        *[F.col("row")[c].alias(c) for c in docs.columns if c not in ("text", "n_lines", "n_removed")],
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(text).alias("text"),
         F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapecheck.settings import shared_dir
@@ -26,17 +26,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """Tells documents apart even if ids are null or repeat: the id, and a hash of the text."""
-    return F.struct(
-        F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))).alias("k1"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("k2"),
-    )
-
-
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the columns k1 and k2 of ``row_key`` in front."""
-    return docs.select(row_key().alias("_k"), *docs.columns).select("_k.*", *docs.columns)
+    """(k1, k2, text, row): each document's key, its text, and all its columns as one struct, so that none can clash.
+
+    The key tells documents apart even if ids are null or repeat: the id, and a hash of the text.
+    """
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("k1"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("k2"),
+        F.col("text"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+    )
 
 
 #: Bits of a ``Sieve``: 2 MB at least, 16 MB at most are sent to each executor.
