@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapecheck.llm import batches
@@ -183,13 +183,18 @@ def line_dedup(docs: DataFrame, threshold: float = THRESHOLD, min_words: int = M
     """``docs`` (doc_id, text and any other columns) without the lines that repeat, with n_lines and n_removed."""
     own = keyed(docs)
     gone = removed_lines(own, threshold, min_words)
-    lines = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    def left(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    # the array of lines is bound once; named inside the lambda it would be split anew for each line
+    text = F.get(F.transform(F.array(F.split("text", "\n", -1)), left), 0)
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     out = own.join(gone, ["k1", "k2"], "left").select(
         *[F.col("row")[c].alias(c) for c in docs.columns if c not in ("text", "n_lines", "n_removed")],
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(text).alias("text"),
-        F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
+        F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(breaks + 1).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
     )
     if drop_emptied:
