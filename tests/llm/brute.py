@@ -51,18 +51,25 @@ def line_shingles(line, width=12):
     return {raw[k : k + width] for k in range(max(1, len(raw) - width + 1))}
 
 
-def leaks(text, items, window=10):
-    """(n_words, n_hit, item ids) by looking at every window."""
-    w = words(text)
-    hit, ids = set(), set()
+def windows(items, window=10):
+    """Item ids of each window."""
+    out = {}
     for item_id, item in items:
         x = words(item)
-        runs = [tuple(x[k : k + window]) for k in range(len(x) - window + 1)] if len(x) >= window else [tuple(x)] if x else []
-        for run in set(runs):
-            for k in range(len(w) - len(run) + 1):
-                if tuple(w[k : k + len(run)]) == run:
-                    hit.update(range(k, k + len(run)))
-                    ids.add(item_id)
+        for k in range(len(x) - window + 1 if len(x) >= window else bool(x)):
+            out.setdefault(tuple(x[k : k + window]), set()).add(item_id)
+    return out
+
+
+def leaks(text, runs):
+    """(n_words, n_hit, item ids) by looking up every run of words of a window's length."""
+    w = words(text)
+    hit, ids = set(), set()
+    for n in {len(run) for run in runs}:
+        for k in range(len(w) - n + 1):
+            if found := runs.get(tuple(w[k : k + n])):
+                hit.update(range(k, k + n))
+                ids |= found
     return len(w), len(hit), ids
 
 
@@ -76,7 +83,8 @@ def luhn(digits):
 
 def personal(text):
     out = []
-    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+    # a text without @ has no match, and the plain pattern would take quadratic time to find out
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text if "@" in text else ""):
         out.append((0, m.start(), m.end()))
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
         if all(int(x) <= 255 for x in m.group().split(".")):

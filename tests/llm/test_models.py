@@ -110,7 +110,7 @@ def test_contradicting_targets_still_give_weights():
 
 def test_pipeline_stages(spark):
     docs = read(spark, "documents")
-    bench = [(r.item_id, r.text) for r in read(spark, "benchmark").collect()]
+    bench = brute.windows([(r.item_id, r.text) for r in read(spark, "benchmark").collect()])
     for name, stage in corpus_pipeline.STAGES:
         left = stage(spark, docs, SF)
         left = corpus_pipeline.stored(left, name)
