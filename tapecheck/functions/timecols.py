@@ -6,6 +6,8 @@ from pyspark.sql import Column, functions as F
 
 DAY_MS = 86_400_000
 KST_HOURS = 9
+#: Bits of the packed order key that hold the number in the millisecond.
+SEQUENCE_BITS = 20
 
 
 def _col(c: Column | str) -> Column:
@@ -34,13 +36,19 @@ def bucket_start(ms: Column | str, width_ms: int) -> Column:
     return m - F.pmod(m, F.lit(width_ms).cast("bigint"))
 
 
-def kst_text(ts: Column | str) -> Column:
-    """Display form used by reports: nine hours ahead, millisecond resolution."""
-    return F.date_format(_col(ts) + F.expr(f"INTERVAL {KST_HOURS} HOURS"), "yyyy-MM-dd HH:mm:ss.SSS")
+def text(ts: Column | str) -> Column:
+    """yyyy-MM-dd HH:mm:ss.SSS of a wall-clock timestamp.
 
+    Built from its plain text: ``date_format`` would pass through the session zone, where hours
+    that a clock change skips do not exist.
+    """
+    plain = _col(ts).cast("timestamp_ntz").cast("string")
+    return F.concat(F.substring(plain, 1, 19), F.lit("."), F.rpad(F.substring(plain, 21, 3), 3, "0"))
 
-def text(ts: Column | str) -> Column:
-    return F.date_format(_col(ts), "yyyy-MM-dd HH:mm:ss.SSS")
+
+def kst_text(ts: Column | str) -> Column:
+    """Display form used by reports: nine hours ahead, millisecond resolution."""
+    return text(_col(ts) + F.expr(f"INTERVAL {KST_HOURS} HOURS"))
 
 
 def arrival_key(event_ms: Column | str, seq: Column | str) -> Column:
@@ -48,9 +56,21 @@ def arrival_key(event_ms: Column | str, seq: Column | str) -> Column:
 
     A single BIGINT keeps ``min_by``/``max_by`` in a hash aggregate; a struct key would force
     a sort of the raw rows. 20 bits hold the in-millisecond number, 43 bits the time (until
-    the year 2248).
+    the year 2248). A number outside that range is an error, never a wrong order; see
+    :func:`wide_arrival_key`.
     """
-    return F.shiftleft(_col(event_ms).cast("bigint"), 20) + _col(seq).cast("bigint")
+    number = _col(seq).cast("bigint")
+    packed = F.shiftleft(_col(event_ms).cast("bigint"), SEQUENCE_BITS) + number
+    fits = number.isNull() | number.between(0, (1 << SEQUENCE_BITS) - 1)
+    return F.when(fits, packed).otherwise(
+        F.raise_error(F.lit("number in the millisecond does not fit the packed key; use wide_numbers")).cast("bigint")
+    )
+
+
+def wide_arrival_key(event_ms: Column | str, seq: Column | str) -> Column:
+    """The same order for any BIGINT number, as a DECIMAL: still a hash aggregate, but slower to build."""
+    half = F.lit("1" + "0" * 19).cast("decimal(20,0)")
+    return (_col(event_ms).cast("decimal(18,0)") * half + _col(seq).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def utc_now() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapecheck.functions.numbers import volume_sum
-from tapecheck.functions.timecols import arrival_key, bucket_start, epoch_ms, wall_clock
+from tapecheck.functions.timecols import arrival_key, bucket_start, epoch_ms, wall_clock, wide_arrival_key
 from tapecheck.operators.scan import last_before, max_before, ordered_scan, sum_upto
 
 
@@ -25,6 +25,7 @@ def candles(
     window_ms: int,
     run_id: str | None = None,
     exact_ties: bool = False,
+    wide_numbers: bool = False,
 ) -> DataFrame:
     """One row per (symbol, window). Arrival order does not matter: open and close follow
     (event_ms, seq_in_ms).
@@ -32,9 +33,12 @@ def candles(
     The key is one BIGINT, so both the map-side and the final step are hash aggregates and a
     hot symbol shrinks to one partial row per window before the shuffle. ``exact_ties`` adds
     the price to the key for inputs whose (event_ms, seq_in_ms) is not unique per symbol, so
-    that re-runs agree there too (lowest price opens, highest closes).
+    that re-runs agree there too (lowest price opens, highest closes). ``wide_numbers`` is for numbers in
+    the millisecond of 2^20 and more, which the packed key refuses.
     """
-    key = arrival_key("event_ms", "seq_in_ms")
+    if exact_ties and wide_numbers:
+        raise ValueError("one of exact_ties and wide_numbers")
+    key = (wide_arrival_key if wide_numbers else arrival_key)("event_ms", "seq_in_ms")
     if exact_ties:
         key = (
             key.cast("decimal(19,0)") * F.lit(10**18).cast("decimal(19,0)")

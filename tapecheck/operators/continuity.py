@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapecheck.functions.timecols import bucket_start, kst_text, text, wall_clock
-from tapecheck.operators.scan import last_before, max_before, ordered_scan
+from tapecheck.operators.scan import last_before, max_before, ordered_scan, sum_before
 from tapecheck.settings import MINUTE_MS
 
 # Connection-name prefixes of test producers.
@@ -22,9 +22,9 @@ def is_real_origin(conn_id: str = "conn_id") -> Column:
 def origin_label(conn_id: str = "conn_id") -> Column:
     c = F.col(conn_id)
     return (
-        F.when(c.like("synth%"), "synthetic (contamination)")
-        .when(c.like("replay%"), "replay (contamination)")
-        .otherwise("real?")
+        F.when(c.like("synth%"), "synth")
+        .when(c.like("replay%"), "replay")
+        .otherwise("other")
     )
 
 
@@ -94,6 +94,22 @@ def connection_spans(trades: DataFrame) -> DataFrame:
     return trades.groupBy("conn_id").agg(F.min("ingest_ms").alias("t0"), F.max("ingest_ms").alias("t1"))
 
 
+def overlap_count(spans: DataFrame) -> DataFrame:
+    """How many pairs of connections overlap, without listing them.
+
+    A pair does not overlap exactly when one of the two ends before the other starts, so the ends
+    before each start are counted in one pass over the times and taken off all pairs.
+    """
+    tie = F.xxhash64("conn_id").alias("tie")
+    times = spans.select(F.col("t0").alias("at"), F.lit(0).cast("bigint").alias("ends"), tie).unionByName(
+        spans.select(F.col("t1").alias("at"), F.lit(1).cast("bigint").alias("ends"), tie)
+    )
+    counted = ordered_scan(times, [], ["at", "ends", "tie"], [sum_before("ended", "ends")])
+    n = F.count(F.lit(1))
+    pairs = (n * (n - 1) / 2).cast("bigint") - F.coalesce(F.sum("ended"), F.lit(0))
+    return counted.filter("ends = 0").agg(pairs.alias("overlapping_pairs"))
+
+
 def connection_overlaps(spans: DataFrame) -> DataFrame:
     """Pairs of connections whose spans overlap.
 

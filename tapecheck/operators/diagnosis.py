@@ -104,25 +104,19 @@ def sign_distribution(diffs: DataFrame) -> DataFrame:
 
 def slice_sensitivity(trades: DataFrame, candle_fn, from_ms_in_window: int, to_ms_in_window: int, window_ms: int) -> DataFrame:
     """Drop one slice of every window and count which columns notice. Both folds read the same
-    trades; the comparison is per window."""
+    trades; the comparison is per window. A window all of whose trades lie in the slice has vanished."""
     offset = F.col("event_ms") - bucket_start("event_ms", window_ms)
     kept = trades.filter(~((offset >= from_ms_in_window) & (offset < to_ms_in_window)))
     full, cut = candle_fn(trades), candle_fn(kept)
     j = full.select(*KEY, *[F.col(c).alias(f"f_{c}") for c in ("open", "high", "low", "close", "volume")]).join(
-        cut.select(*KEY, "open", "high", "low", "close", "volume"), KEY
+        cut.select(*KEY, "open", "high", "low", "close", "volume", F.lit(True).alias("left")), KEY, "left"
     )
 
     def moved(c: str):
         return F.count_if(F.col(c) != F.col(f"f_{c}"))
 
     return j.agg(
-        F.count(F.lit(1)).alias("windows"),
+        F.count(F.lit(1)).alias("windows"), F.count_if(F.col("left").isNull()).alias("vanished"),
         moved("open").alias("open_moved"), moved("high").alias("high_moved"), moved("low").alias("low_moved"),
         moved("close").alias("close_moved"), moved("volume").alias("volume_moved"),
     )
-
-
-__all__ = [
-    "adjacent_symmetry", "classify_mismatches", "gap_explained", "gap_windows", "sign_distribution",
-    "slice_sensitivity", "epoch_ms",
-]

@@ -73,12 +73,9 @@ def dead_letters(classified: DataFrame, job_run: str, seen_at: Column | None = N
 
 
 def late_payload() -> Column:
-    """Text form of a late trade in the dead-letter table."""
-    return F.concat(
-        F.lit("eventMs="), F.col("event_ms").cast("string"), F.lit(" seq="), F.col("seq_in_ms").cast("string"),
-        F.lit(" price="), F.col("price").cast("string"), F.lit(" volume="), F.col("volume").cast("string"),
-        F.lit(" connId="), F.coalesce("conn_id", F.lit("null")), F.lit(" recvSeq="), F.col("recv_seq").cast("string"),
-    )
+    """A late trade in the dead-letter table: its fields as JSON, prices as text."""
+    text = [F.col(c).cast("string").alias(c) for c in ("price", "volume")]
+    return F.to_json(F.struct("event_ms", "seq_in_ms", *text, "conn_id", "recv_seq"))
 
 
 def late_letters(late: DataFrame, job_run: str, seen_at: Column) -> DataFrame:

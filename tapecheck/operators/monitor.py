@@ -13,6 +13,11 @@ from tapecheck.functions.timecols import wall_clock
 from tapecheck.operators.scan import last_before, ordered_scan
 
 
+def selected(samples: DataFrame, label: str, prefix: str) -> DataFrame:
+    """Samples whose label begins with ``prefix``; the filter is applied before any sample is reduced."""
+    return samples.filter(F.col(label).startswith(prefix)) if prefix else samples
+
+
 def step_of(ts_ms: Column | str, step_ms: int) -> Column:
     """First evaluation time at or after the sample."""
     t = F.col(ts_ms) if isinstance(ts_ms, str) else ts_ms
@@ -58,15 +63,28 @@ def increase(
     )
 
 
-def level(samples: DataFrame, series: list[str], step_ms: int, tie: str, name: str = "level") -> DataFrame:
-    """Latest value of every series at every step."""
+LOOKBACK_MS = 5 * 60_000
+
+
+def level(
+    samples: DataFrame, series: list[str], step_ms: int, tie: str, name: str = "level", lookback_ms: int = LOOKBACK_MS
+) -> DataFrame:
+    """Latest value of every series at every step at which it lives.
+
+    A sample counts for ``lookback_ms``; a series without a younger one has no level, so a job that
+    ended does not keep its last value. Each sample is spread over the steps up to the series' next one,
+    so the rows follow the samples and not series x steps.
+    """
     per = samples.groupBy(*series, step_of("ts_ms", step_ms).alias("eval_ms")).agg(
-        F.max_by("value", F.struct("ts_ms", tie)).alias("v")
+        F.max_by("value", F.struct("ts_ms", tie)).alias(name), F.max("ts_ms").alias("at_ms")
+    )
+    last = F.lit(per.agg(F.max("eval_ms")).first()[0]).cast("bigint")
+    following = F.lead("eval_ms").over(_ordered(series)) - step_ms
+    return (
+        per.withColumn("until_ms", F.least(following, last, F.col("at_ms") + lookback_ms - 1))
+        .filter("until_ms >= eval_ms")
+        .select(*series, F.explode(F.sequence("eval_ms", "until_ms", F.lit(step_ms).cast("bigint"))).alias("eval_ms"), name)
     )
-    w = _ordered(series).rowsBetween(Window.unboundedPreceding, 0)
-    return on_grid(per, series, step_ms).select(
-        *series, "eval_ms", F.last("v", ignorenulls=True).over(w).alias(name)
-    ).filter(F.col(name).isNotNull())
 
 
 def slope(levels: DataFrame, keys: list[str], value: str, window_ms: int, name: str = "slope") -> DataFrame:
@@ -108,6 +126,12 @@ def inhibit(firing: DataFrame, by: DataFrame) -> DataFrame:
     return firing.join(by.select("eval_ms").distinct(), "eval_ms", "left_anti")
 
 
+def state_at(samples: DataFrame, series: list[str], as_of_ms: int, tie: str) -> DataFrame:
+    """Latest value of every series at a time."""
+    known = samples.filter(F.col("ts_ms") <= F.lit(as_of_ms).cast("bigint"))
+    return known.groupBy(*series).agg(F.max_by("value", F.struct("ts_ms", tie)).alias("value"))
+
+
 def unread_partitions(end_offsets: DataFrame, committed: DataFrame) -> DataFrame:
     """Partitions that hold records although no group has ever committed a position in them. The
     unknown position is -1, so the maximum over the groups decides."""

@@ -19,7 +19,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_SLICE = 200_000
-MAX_SLICES = 16_384
 _GRID = 64
 _LOWEST = -(2**63)
 
@@ -101,7 +100,7 @@ def _quantiles(df: DataFrame, column: str, parts: int) -> tuple[int, list[int]]:
 
 
 def measure_slices(
-    df: DataFrame, order: list[str], rows_per_slice: int | None = None, max_slices: int = MAX_SLICES
+    df: DataFrame, order: list[str], rows_per_slice: int | None = None
 ) -> Slices:
     """Split points that give slices of about ``rows_per_slice`` rows.
 
@@ -113,7 +112,7 @@ def measure_slices(
     first = order[0]
     # One pass gives the row count and a grid of quantiles that most sizes can be cut from.
     n, grid = _quantiles(df, first, _GRID)
-    want = min(max_slices, -(-n // rows_per_slice)) if n else 1
+    want = -(-n // rows_per_slice) if n else 1
     if want <= 1:
         return Slices(tuple(order))
     if want > _GRID:
@@ -128,18 +127,21 @@ def measure_slices(
     points = {(v, _LOWEST) for v in repeats}
     if hot and len(order) > 1:
         points |= {(v + 1, _LOWEST) for v in hot}
-        parts = max(repeats[v] for v in hot) + 1
+        most = max(repeats[v] for v in hot) + 1
         inner = (
             df.filter(F.col(first).isin(hot))
             .groupBy(F.col(first).cast("bigint").alias("v"))
             .agg(
                 F.percentile_approx(
-                    F.col(order[1]).cast("bigint"), [k / parts for k in range(1, parts)], F.lit(max(10_000, 20 * parts))
+                    F.col(order[1]).cast("bigint"), [k / most for k in range(1, most)], F.lit(max(10_000, 20 * most))
                 ).alias("q")
             )
             .collect()
         )
-        points |= {(r.v, q) for r in inner for q in set(r.q or [])}
+        for r in inner:
+            # a value gets as many cuts as its own repeats ask for, not as many as the hottest one
+            parts = repeats[r.v] + 1
+            points |= {(r.v, r.q[round(k * most / parts) - 1]) for k in range(1, parts) if r.q}
     elif hot:
         hot = []
     return Slices(tuple(order), tuple(sorted(points)), tuple(hot))
@@ -184,6 +186,13 @@ def _inside(m: Measure, w, carry: Column | None) -> Column:
     return here if carry is None else F.coalesce(here, carry)
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL keys meet NULL keys."""
+    right = right.withColumnsRenamed({k: f"_on_{k}" for k in keys})
+    on = [left[k].eqNullSafe(right[f"_on_{k}"]) for k in keys]
+    return left.join(right, on, how).drop(*[f"_on_{k}" for k in keys])
+
+
 def ordered_scan(
     df: DataFrame,
     keys: list[str],
@@ -207,7 +216,7 @@ def ordered_scan(
     by_slice = cut.groupBy(*keys, "_slice").agg(*[_reduced(m, order).alias(f"_{m.name}") for m in measures])
     over = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_slice").rowsBetween(*_BEFORE)
     carries = by_slice.select(*keys, "_slice", *[_carried(m, over).alias(f"_{m.name}") for m in measures])
-    joined = cut.join(carries, [*keys, "_slice"])
+    joined = _null_safe(cut, carries, [*keys, "_slice"])
     w = Window.partitionBy(*keys, "_slice").orderBy(*order)
     return joined.withColumns({m.name: _inside(m, w, F.col(f"_{m.name}")) for m in measures}).drop(
         "_slice", *[f"_{m.name}" for m in measures]
@@ -236,7 +245,7 @@ def number_within(
     )
     w = Window.partitionBy(*group, "_slice").orderBy(*order)
     return (
-        cut.join(carries, [*group, "_slice"], "left")
+        _null_safe(cut, carries, [*group, "_slice"], "left")
         .withColumn(name, (F.row_number().over(w) - 1 + F.coalesce("_n", F.lit(0))).cast("int"))
         .drop("_slice", "_n")
     )

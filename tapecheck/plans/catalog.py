@@ -32,5 +32,8 @@ def load() -> None:
         queries_monitor,
         queries_ordering,
         queries_parsing,
+        queries_sliced,
         queries_streaming,
     )
+
+    queries_sliced.register()

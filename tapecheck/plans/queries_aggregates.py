@@ -69,28 +69,28 @@ def _(spark, d):
     "agg5_latest_per_column",
     s.with_(
         [s.TRADES, s.ARCHIVE, s.mine()],
-        """SELECT symbol, window_start, arg_max(open, ingested_at) AS o, arg_max(high, ingested_at) AS h,
-                  arg_max(low, ingested_at) AS l, arg_max(close, ingested_at) AS c,
-                  arg_max(volume, ingested_at) AS v, count(*) AS wc
-           FROM mine GROUP BY 1, 2""",
+        """SELECT symbol, window_start, open, high, low, close, volume, writes
+           FROM (SELECT *, row_number() OVER (PARTITION BY symbol, window_start ORDER BY ingested_at DESC) AS nth,
+                        count(*) OVER (PARTITION BY symbol, window_start) AS writes FROM mine)
+           WHERE nth = 1""",
     ),
 )
 def _(spark, d):
     # Taken from one row on purpose: six separate picks may mix rows when write times tie.
     return dedup.latest_candles(dv.own_of(spark, d)).select(
-        "symbol", "window_start", F.col("open").alias("o"), F.col("high").alias("h"), F.col("low").alias("l"),
-        F.col("close").alias("c"), F.col("volume").alias("v"), F.col("write_count").alias("wc"),
+        "symbol", "window_start", "open", "high", "low", "close", "volume", F.col("write_count").alias("writes"),
     )
 
 
 _CONT = f"""continuity AS (
-  SELECT conn_id, count(*) AS received, min(recv_seq) AS first_seq, max(recv_seq) AS last_seq,
-         max(recv_seq) - min(recv_seq) + 1 AS expected,
-         max(recv_seq) - min(recv_seq) + 1 - count(*) AS gaps,
-         round((max(recv_seq) - min(recv_seq) + 1 - count(*))
-               / nullif(CAST(max(recv_seq) - min(recv_seq) + 1 AS DOUBLE), 0) * 100, 4) AS loss_pct,
-         {s.ms_text('min(ingest_ms)')} AS first_seen, {s.ms_text('max(ingest_ms)')} AS last_seen
-  FROM archive GROUP BY 1)"""
+  SELECT conn_id, received, first_seq, last_seq, span AS expected, absent - repeated AS gaps,
+         round(CAST(absent - repeated AS DOUBLE) / span * 100, 4) AS loss_pct, first_seen, last_seen
+  FROM (SELECT conn_id, CAST(sum(n) AS BIGINT) AS received, min(recv_seq) AS first_seq, max(recv_seq) AS last_seq,
+               CAST(sum(step) AS BIGINT) AS span, CAST(sum(step - 1) AS BIGINT) AS absent, CAST(sum(n - 1) AS BIGINT) AS repeated,
+               {s.ms_text('min(t0)')} AS first_seen, {s.ms_text('max(t1)')} AS last_seen
+        FROM (SELECT *, recv_seq - coalesce(lag(recv_seq) OVER (PARTITION BY conn_id ORDER BY recv_seq), recv_seq - 1) AS step
+              FROM (SELECT conn_id, recv_seq, count(*) AS n, min(ingest_ms) AS t0, max(ingest_ms) AS t1 FROM archive GROUP BY 1, 2))
+        GROUP BY 1))"""
 
 
 @query("agg6_source_continuity", s.with_([*_A, _CONT], "SELECT * FROM continuity"))
@@ -121,8 +121,7 @@ def _(spark, d):
     return ct.loss_by_minute(dv.archive_of(spark, d)).orderBy("minute", "conn_id")
 
 
-_ORIGIN_LABEL = """CASE WHEN conn_id LIKE 'synth%' THEN 'synthetic (contamination)'
-       WHEN conn_id LIKE 'replay%' THEN 'replay (contamination)' ELSE 'real?' END"""
+_ORIGIN_LABEL = "coalesce(nullif(regexp_extract(conn_id, '^(synth|replay)', 1), ''), 'other')"
 
 
 @query(

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tapecheck.operators import candles as cd, compare as cmp, dedup, diagnosis as dg
 from tapecheck.plans import sqlparts as s
 from tapecheck.plans.catalog import query
+from tapecheck.plans.queries_aggregates import _CONT, _SPANS
+from tapecheck.plans.queries_parsing import _LETTERS, _REASONS, _letters as letters_of
 from tapecheck.plans.verify import verification_report
 from tapecheck.settings import HOUR_MS
 from tapecheck.sources import derived as dv, stores
@@ -344,10 +346,10 @@ _CUT = "kept AS (SELECT * FROM trades WHERE NOT (event_ms % 3600000 >= 1200000 A
     "exp9_slice_sensitivity",
     s.with_(
         [s.TRADES, _CUT, f"f AS ({s.ohlcv('trades', HOUR_MS)})", f"k AS ({s.ohlcv('kept', HOUR_MS)})"],
-        """SELECT count(*) AS windows, count(*) FILTER (k.open <> f.open) AS open_moved, count(*) FILTER (k.high <> f.high) AS high_moved,
+        """SELECT count(*) AS windows, count(*) FILTER (k.symbol IS NULL) AS vanished, count(*) FILTER (k.open <> f.open) AS open_moved, count(*) FILTER (k.high <> f.high) AS high_moved,
                   count(*) FILTER (k.low <> f.low) AS low_moved, count(*) FILTER (k.close <> f.close) AS close_moved,
                   count(*) FILTER (k.volume <> f.volume) AS volume_moved
-           FROM f JOIN k ON f.symbol = k.symbol AND f.window_start = k.window_start""",
+           FROM f LEFT JOIN k ON f.symbol = k.symbol AND f.window_start = k.window_start""",
     ),
 )
 def _(spark, d):
@@ -356,6 +358,32 @@ def _(spark, d):
     )
 
 
-@query("verify_report")
+def _check(section: str, name: str, value: str, bad: str | None = None, good: str = "v = 0") -> str:
+    verdict = f"CASE WHEN {good} THEN 'ok' ELSE '{bad}' END" if bad else "'info'"
+    return f"""SELECT '{section}' AS section, '{name}' AS "check", CAST(v AS DOUBLE) AS value, {verdict} AS verdict FROM ({value})"""
+
+
+_REPORT = [
+    _check("continuity", "lost", "SELECT coalesce(sum(gaps) FILTER (gaps > 0), 0) AS v FROM continuity", "source loss"),
+    _check("continuity", "delivered_twice", "SELECT coalesce(-sum(gaps) FILTER (gaps < 0), 0) AS v FROM continuity", "duplicates"),
+    _check("origin", "foreign_rows", "SELECT count(*) AS v FROM archive WHERE regexp_matches(conn_id, '^(synth|replay)')", "scorecard void"),
+    _check("origin", "overlapping_pairs", "SELECT count(*) AS v FROM spans a JOIN spans b ON a.conn_id < b.conn_id AND a.t0 <= b.t1 AND b.t0 <= a.t1", "second producer"),
+    _check("raw-vs-candle", "windows", "SELECT count(*) AS v FROM chk"),
+    _check("raw-vs-candle", "exact", "SELECT count(*) AS v FROM chk WHERE diff = 0"),
+    _check("raw-vs-candle", "mismatched", "SELECT count(*) AS v FROM chk WHERE diff <> 0", "lost in the job"),
+    _check("scorecard", "matched", "SELECT count(*) AS v FROM matched", "no claim possible", "v > 0"),
+    *(_check("scorecard", f"{c}_ok", f"SELECT count(*) AS v FROM matched WHERE my_{c} = off_{c}") for c in ("open", "high", "low", "close")),
+    _check("scorecard", "vol_ok", "SELECT count(*) AS v FROM matched WHERE my_volume = off_volume", "not exact", "v = (SELECT count(*) FROM matched)"),
+    _check("scorecard", "duplicated", "SELECT count(*) AS v FROM matched WHERE my_write_count > 1", "written more than once"),
+    _check("dead-letters", "dropped", "SELECT count(*) AS v FROM letters", "see reasons"),
+    """SELECT 'dead-letters', stage || ': ' || reason, CAST(count(*) AS DOUBLE), 'info' FROM letters GROUP BY stage, reason""",
+    *(
+        f"""SELECT 'range', '{src}, ' || {s.kst('min(window_start)')} || ', ' || {s.kst('max(window_start)')}, CAST(count(*) AS DOUBLE), 'ok' FROM {src}"""
+        for src in ("mine", "official")
+    ),
+]
+
+
+@query("verify_report", s.with_([*_S, _CONT, _CHECK, _SPANS, _REASONS, _LETTERS], " UNION ALL ".join(_REPORT)))
 def _(spark, d):
-    return verification_report(dv.archive_of(spark, d), dv.own_of(spark, d), dv.official_of(spark, d), None, HOUR_MS)
+    return verification_report(dv.archive_of(spark, d), dv.own_of(spark, d), dv.official_of(spark, d), letters_of(spark, d), HOUR_MS)

@@ -15,6 +15,7 @@ from tapecheck.sources import derived as dv
 from tapecheck.sources.derived_metrics import METRICS, metric, metric_samples
 
 STEP, WINDOW, FOR = HOUR_MS // 2, 2 * HOUR_MS, HOUR_MS
+LOOKBACK = 3 * HOUR_MS
 
 
 def _m(spark, d, name):
@@ -54,12 +55,12 @@ def _level(name: str, cte: str) -> list[str]:
     k = ", ".join(keys)
     return [
         _samples(name, f"{cte}_s"),
-        f"{cte}_p AS (SELECT {k}, eval_ms, arg_max(value, (ts_ms, event_id)) AS v FROM {cte}_s GROUP BY {k}, eval_ms)",
+        f"{cte}_p AS (SELECT {k}, eval_ms, arg_max(value, (ts_ms, event_id)) AS v, max(ts_ms) AS at_ms FROM {cte}_s GROUP BY {k}, eval_ms)",
         f"""{cte}_g AS (SELECT {k}, unnest(generate_series((SELECT min(eval_ms) FROM {cte}_p), (SELECT max(eval_ms) FROM {cte}_p), {STEP})) AS eval_ms
   FROM (SELECT DISTINCT {k} FROM {cte}_p))""",
-        f"""{cte} AS (SELECT * FROM (SELECT {', '.join('g.' + x for x in keys)}, g.eval_ms,
-    last_value(p.v IGNORE NULLS) OVER (PARTITION BY {', '.join('g.' + x for x in keys)} ORDER BY g.eval_ms) AS level
-  FROM {cte}_g g LEFT JOIN {cte}_p p ON {' AND '.join(f'g.{x} = p.{x}' for x in keys)} AND g.eval_ms = p.eval_ms) WHERE level IS NOT NULL)""",
+        f"""{cte} AS (SELECT {', '.join('g.' + x for x in keys)}, g.eval_ms, arg_max(p.v, p.eval_ms) AS level
+  FROM {cte}_g g JOIN {cte}_p p ON {' AND '.join(f'g.{x} = p.{x}' for x in keys)} AND p.eval_ms <= g.eval_ms AND p.at_ms > g.eval_ms - {LOOKBACK}
+  GROUP BY ALL)""",
     ]
 
 
@@ -105,8 +106,8 @@ def _(spark, d):
     return x.select("instance", wall_clock("eval_ms").alias("ts"), "increase")
 
 
-def _group_lag(spark, d):
-    lv = mo.level(_m(spark, d, "group_lag"), ["grp", "part"], STEP, "event_id")
+def _group_lag(spark, d, prefix=""):
+    lv = mo.level(mo.selected(_m(spark, d, "group_lag"), "grp", prefix), ["grp", "part"], STEP, "event_id", lookback_ms=LOOKBACK)
     return lv.groupBy("grp", "eval_ms").agg(F.sum("level").alias("lag"))
 
 
@@ -128,7 +129,7 @@ _CONNECTED = [*_level("connected", "cn"), "con AS (SELECT eval_ms, max(level) AS
 
 
 def _connected(spark, d):
-    lv = mo.level(_m(spark, d, "connected"), ["instance"], STEP, "event_id")
+    lv = mo.level(_m(spark, d, "connected"), ["instance"], STEP, "event_id", lookback_ms=LOOKBACK)
     return lv.groupBy("eval_ms").agg(F.max("level").alias("connected"))
 
 
@@ -154,14 +155,14 @@ def _disconnected(spark, d):
     return mo.firing_steps(_connected(spark, d), [], F.col("connected") == 0, FOR, STEP)
 
 
-@query("mon1_no_candles", s.with_([s.TRADES, *_NO_CANDLES], _alert("NoCandlesProduced", "page", [], "f1")))
+@query("mon1_no_candles", s.with_([s.TRADES, *_NO_CANDLES], _alert("candles_absent", "page", [], "f1")))
 def _(spark, d):
-    return mo.alerts(_no_candles(spark, d), [], "NoCandlesProduced", "page")
+    return mo.alerts(_no_candles(spark, d), [], "candles_absent", "page")
 
 
-@query("mon2_source_disconnected", s.with_([s.TRADES, *_CONNECTED, *_DISCONNECTED], _alert("SourceDisconnected", "page", [], "f2")))
+@query("mon2_source_disconnected", s.with_([s.TRADES, *_CONNECTED, *_DISCONNECTED], _alert("source_down", "page", [], "f2")))
 def _(spark, d):
-    return mo.alerts(_disconnected(spark, d), [], "SourceDisconnected", "page")
+    return mo.alerts(_disconnected(spark, d), [], "source_down", "page")
 
 
 _FAILED = [
@@ -170,14 +171,14 @@ _FAILED = [
 ]
 
 
-@query("mon3_checkpoints_failing", s.with_([s.TRADES, *_FAILED, *_firing("e3", ["job_id"], "increase > 3 AND old_enough")], _alert("CheckpointsFailing", "page", ["job_id"])))
+@query("mon3_checkpoints_failing", s.with_([s.TRADES, *_FAILED, *_firing("e3", ["job_id"], "increase > 3 AND old_enough")], _alert("checkpoints_failing", "page", ["job_id"])))
 def _(spark, d):
     # Per run instance, not per job name; a run that just started is given time.
     fails = mo.increase(_m(spark, d, "failed_checkpoints_total"), ["job_id"], ["job_id"], STEP, WINDOW, "event_id")
-    old = mo.level(_m(spark, d, "job_uptime_ms"), ["job_id"], STEP, "event_id").filter(F.col("level") > WINDOW)
+    old = mo.level(_m(spark, d, "job_uptime_ms"), ["job_id"], STEP, "event_id", lookback_ms=LOOKBACK).filter(F.col("level") > WINDOW)
     both = mo.label_and(fails.filter(F.col("increase") > 3), old, ["job_id", "eval_ms"]).select("job_id", "eval_ms", F.lit(True).alias("hit"))
     evals = fails.join(both, ["job_id", "eval_ms"], "left")
-    return mo.alerts(mo.firing_steps(evals, ["job_id"], F.col("hit"), FOR, STEP), ["job_id"], "CheckpointsFailing", "page")
+    return mo.alerts(mo.firing_steps(evals, ["job_id"], F.col("hit"), FOR, STEP), ["job_id"], "checkpoints_failing", "page")
 
 
 @query(
@@ -186,33 +187,44 @@ def _(spark, d):
 )
 def _(spark, d):
     fails = mo.increase(_m(spark, d, "failed_checkpoints_total"), ["job_id"], ["job_id"], STEP, WINDOW, "event_id")
-    old = mo.level(_m(spark, d, "job_uptime_ms"), ["job_id"], STEP, "event_id").filter(F.col("level") > WINDOW)
+    old = mo.level(_m(spark, d, "job_uptime_ms"), ["job_id"], STEP, "event_id", lookback_ms=LOOKBACK).filter(F.col("level") > WINDOW)
     return mo.label_and(fails.filter(F.col("increase") > 3), old, ["job_id", "eval_ms"]).select(
         "job_id", wall_clock("eval_ms").alias("ts"), "increase"
     )
 
 
-@query("mon4_late_trades", s.with_([s.TRADES, *_increase("late_dropped_total", "lt", []), *_firing("lt", [], "increase > 100")], _alert("LateTradesDropping", "warning", [])))
+@query("mon4_late_trades", s.with_([s.TRADES, *_increase("late_dropped_total", "lt", []), *_firing("lt", [], "increase > 100")], _alert("late_trades", "warning", [])))
 def _(spark, d):
     x = mo.increase(_m(spark, d, "late_dropped_total"), ["task"], [], STEP, WINDOW, "event_id")
-    return mo.alerts(mo.firing_steps(x, [], F.col("increase") > 100, FOR, STEP), [], "LateTradesDropping", "warning")
+    return mo.alerts(mo.firing_steps(x, [], F.col("increase") > 100, FOR, STEP), [], "late_trades", "warning")
 
 
-@query("mon5_lag_growing", s.with_([s.TRADES, *_LAG, _SLOPE, *_firing("sl", ["grp"], "lag > 20000 AND slope > 1e-9")], _alert("ConsumerLagGrowing", "warning", ["grp"])))
+@query("mon5_lag_growing", s.with_([s.TRADES, *_LAG, _SLOPE, *_firing("sl", ["grp"], "lag > 20000 AND slope > 1e-9")], _alert("lag_growing", "warning", ["grp"])))
 def _(spark, d):
     sl = mo.slope(_group_lag(spark, d), ["grp"], "lag", WINDOW)
     cond = (F.col("lag") > 20_000) & (F.col("slope") > 1e-9)
-    return mo.alerts(mo.firing_steps(sl, ["grp"], cond, FOR, STEP), ["grp"], "ConsumerLagGrowing", "warning")
+    return mo.alerts(mo.firing_steps(sl, ["grp"], cond, FOR, STEP), ["grp"], "lag_growing", "warning")
+
+
+_PREFIX = "cand"  # which groups the alert is about; groups of ended experiments must not keep it firing
+_LAG_OF = [*_level("group_lag", "lv"), f"lag AS (SELECT grp, eval_ms, sum(level) AS lag FROM lv WHERE starts_with(grp, '{_PREFIX}') GROUP BY 1, 2)"]
+
+
+@query("mon5_lag_growing_selected", s.with_([s.TRADES, *_LAG_OF, _SLOPE, *_firing("sl", ["grp"], "lag > 20000 AND slope > 1e-9")], _alert("lag_growing", "warning", ["grp"])))
+def _(spark, d):
+    sl = mo.slope(_group_lag(spark, d, _PREFIX), ["grp"], "lag", WINDOW)
+    cond = (F.col("lag") > 20_000) & (F.col("slope") > 1e-9)
+    return mo.alerts(mo.firing_steps(sl, ["grp"], cond, FOR, STEP), ["grp"], "lag_growing", "warning")
 
 
 _RESTARTS = [*_increase("job_restarts_total", "rs", ["job_name", "attempt"]), "e6 AS (SELECT job_name, eval_ms, max(increase) AS increase FROM rs GROUP BY 1, 2)"]
 
 
-@query("mon6_restart_loop", s.with_([s.TRADES, *_RESTARTS, *_firing("e6", ["job_name"], "increase > 3")], _alert("JobRestartLooping", "page", ["job_name"])))
+@query("mon6_restart_loop", s.with_([s.TRADES, *_RESTARTS, *_firing("e6", ["job_name"], "increase > 3")], _alert("restart_loop", "page", ["job_name"])))
 def _(spark, d):
     x = mo.increase(_m(spark, d, "job_restarts_total"), ["job_name", "attempt"], ["job_name", "attempt"], STEP, WINDOW, "event_id")
     top = x.groupBy("job_name", "eval_ms").agg(F.max("increase").alias("increase"))
-    return mo.alerts(mo.firing_steps(top, ["job_name"], F.col("increase") > 3, FOR, STEP), ["job_name"], "JobRestartLooping", "page")
+    return mo.alerts(mo.firing_steps(top, ["job_name"], F.col("increase") > 3, FOR, STEP), ["job_name"], "restart_loop", "page")
 
 
 _OFFSETS = [
@@ -222,21 +234,23 @@ _OFFSETS = [
 ]
 
 
-@query("mon7_partition_not_consumed", s.with_([s.TRADES, *_OFFSETS, *_firing("e7", ["topic", "partition"], "level > 0 AND unread")], _alert("PartitionNotConsumed", "page", ["topic", "partition"])))
+@query("mon7_partition_not_consumed", s.with_([s.TRADES, *_OFFSETS, *_firing("e7", ["topic", "partition"], "level > 0 AND unread")], _alert("partition_unread", "page", ["topic", "partition"])))
 def _(spark, d):
     keys = ["topic", "partition"]
-    ends = mo.level(_m(spark, d, "topic_end_offset"), keys, STEP, "event_id")
+    ends = mo.level(_m(spark, d, "topic_end_offset"), keys, STEP, "event_id", lookback_ms=LOOKBACK)
     best = (
-        mo.level(_m(spark, d, "group_offset"), ["grp", *keys], STEP, "event_id")
+        mo.level(_m(spark, d, "group_offset"), ["grp", *keys], STEP, "event_id", lookback_ms=LOOKBACK)
         .groupBy(*keys, "eval_ms").agg(F.max("level").alias("best"))
     )
     evals = ends.join(best, [*keys, "eval_ms"], "left")
     cond = (F.col("level") > 0) & (F.col("best") == -1)
-    return mo.alerts(mo.firing_steps(evals, keys, cond, FOR, STEP), keys, "PartitionNotConsumed", "page")
+    return mo.alerts(mo.firing_steps(evals, keys, cond, FOR, STEP), keys, "partition_unread", "page")
 
 
-_LATEST = """latest AS (SELECT topic, partition, arg_max(value, (ts_ms, event_id)) AS value FROM eo_s GROUP BY 1, 2),
-committed AS (SELECT grp, topic, partition, arg_max(value, (ts_ms, event_id)) AS value FROM go_s WHERE event_id % 1400 < 700 GROUP BY 1, 2, 3)"""
+AS_OF = 30 * HOUR_MS  # after the first sample: two partitions were still undiscovered
+_LATEST = f"""t AS (SELECT min(ts_ms) + {AS_OF} AS as_of FROM eo_s),
+latest AS (SELECT topic, partition, arg_max(value, (ts_ms, event_id)) AS value FROM eo_s, t WHERE ts_ms <= as_of GROUP BY 1, 2),
+committed AS (SELECT grp, topic, partition, arg_max(value, (ts_ms, event_id)) AS value FROM go_s, t WHERE ts_ms <= as_of GROUP BY 1, 2, 3)"""
 
 
 @query(
@@ -248,13 +262,11 @@ committed AS (SELECT grp, topic, partition, arg_max(value, (ts_ms, event_id)) AS
     ),
 )
 def _(spark, d):
-    ends = _m(spark, d, "topic_end_offset").groupBy("topic", "partition").agg(F.max_by("value", F.struct("ts_ms", "event_id")).alias("value"))
-    # State while two partitions were still undiscovered.
-    committed = (
-        _m(spark, d, "group_offset").filter(F.col("event_id") % 1400 < 700)
-        .groupBy("grp", "topic", "partition").agg(F.max_by("value", F.struct("ts_ms", "event_id")).alias("value"))
+    ends, offsets = _m(spark, d, "topic_end_offset"), _m(spark, d, "group_offset")
+    as_of = ends.agg(F.min("ts_ms") + AS_OF).first()[0]
+    return mo.unread_partitions(
+        mo.state_at(ends, ["topic", "partition"], as_of, "event_id"), mo.state_at(offsets, ["grp", "topic", "partition"], as_of, "event_id")
     )
-    return mo.unread_partitions(ends, committed)
 
 
 @query("mon9_freshness", s.with_(
@@ -334,6 +346,12 @@ def _(spark, d):
     return x.select("outcome", wall_clock("eval_ms").alias("ts"), "increase")
 
 
+@query("mon8_late_dropped", s.with_([s.TRADES, *_increase("late_dropped_total", "ld", ["task"])], f"SELECT task, {s.ms_ts('eval_ms')} AS ts, increase AS late_dropped FROM ld"))
+def _(spark, d):
+    x = mo.increase(_m(spark, d, "late_dropped_total"), ["task"], ["task"], STEP, WINDOW, "event_id", "late_dropped")
+    return x.select("task", wall_clock("eval_ms").alias("ts"), "late_dropped")
+
+
 @query("mon8_task_throughput", s.with_([s.TRADES, *_increase("records_out_total", "ro", ["subtask"])], f"SELECT subtask, {s.ms_ts('eval_ms')} AS ts, increase / {WINDOW / 1000.0}::DOUBLE AS per_second FROM ro"))
 def _(spark, d):
     x = mo.increase(_m(spark, d, "records_out_total"), ["subtask"], ["subtask"], STEP, WINDOW, "event_id")

@@ -126,8 +126,8 @@ def _(spark, d):
     "prj15_late_payload",
     s.with_(
         [s.TRADES],
-        """SELECT event_id, 'eventMs=' || event_ms || ' seq=' || seq_in_ms || ' price=' || price || ' volume=' || volume
-                  || ' connId=' || conn_id || ' recvSeq=' || recv_seq AS payload FROM trades""",
+        """SELECT event_id, '{"event_ms":' || event_ms || ',"seq_in_ms":' || seq_in_ms || ',"price":"' || price || '","volume":"' || volume
+                  || '","conn_id":"' || conn_id || '","recv_seq":' || recv_seq || '}' AS payload FROM trades""",
     ),
 )
 def _(spark, d):

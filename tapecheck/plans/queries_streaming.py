@@ -171,8 +171,8 @@ def _(spark, d):
     s.with_(
         [*_D, _judged()],
         f"""SELECT {s.ms_ts('ingest_ms')} AS seen_at, 'window' AS stage, 'late-window' AS reason, symbol,
-               'eventMs=' || event_ms || ' seq=' || seq_in_ms || ' price=' || price || ' volume=' || volume
-               || ' connId=' || conn_id || ' recvSeq=' || recv_seq AS payload, 'r1' AS job_run
+               '{{"event_ms":' || event_ms || ',"seq_in_ms":' || seq_in_ms || ',"price":"' || price || '","volume":"' || volume
+               || '","conn_id":"' || conn_id || '","recv_seq":' || recv_seq || '}}' AS payload, 'r1' AS job_run
             FROM judged WHERE late""",
     ),
 )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tapecheck.operators import compare as cmp, continuity as ct
+from tapecheck.operators import compare as cmp, continuity as ct, letters as lt
 
 
 def _rows(df: DataFrame, section: str, names: list[str], verdict: dict[str, object] | None = None) -> DataFrame:
@@ -29,7 +29,7 @@ def verification_report(
         F.sum(F.when(F.col("gaps") < 0, -F.col("gaps")).otherwise(0)).alias("delivered_twice"),
     )
     foreign = trades.agg(F.count_if(~ct.is_real_origin()).alias("foreign_rows"))
-    overlaps = ct.connection_overlaps(ct.connection_spans(trades)).agg(F.count(F.lit(1)).alias("overlapping_pairs"))
+    overlaps = ct.overlap_count(ct.connection_spans(trades))
     counts = cmp.count_check_summary(cmp.trade_count_check(trades, own, window_ms))
     score = cmp.scorecard(own, official)
     ok = lambda cond, bad: F.when(cond, "ok").otherwise(bad)
@@ -50,6 +50,14 @@ def verification_report(
     if dead_letters is not None:
         parts.append(_rows(dead_letters.agg(F.count(F.lit(1)).alias("dropped")), "dead-letters", ["dropped"],
                            {"dropped": ok(F.col("dropped") == 0, "see reasons")}))
+        parts.append(lt.dead_letter_summary(dead_letters).select(
+            F.lit("dead-letters").alias("section"), F.concat_ws(": ", "stage", "reason").alias("check"),
+            F.col("dropped").cast("double").alias("value"), F.lit("info").alias("verdict"),
+        ))
+    parts.append(cmp.range_summary(own, official).select(
+        F.lit("range").alias("section"), F.concat_ws(", ", "src", "first_kst", "last_kst").alias("check"),
+        F.col("n_rows").cast("double").alias("value"), ok(F.col("n_rows") > 0, "empty").alias("verdict"),
+    ))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

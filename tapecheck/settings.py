@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -34,13 +35,8 @@ class CandleSettings:
     trigger: str = "10 seconds"
 
     def describe(self) -> str:
-        """One line that can be stored next to the results it explains."""
-        return (
-            f"window={self.window_ms // 1000}s watermarkDelay={self.watermark_delay_ms // 1000}s "
-            f"idleness={self.idleness_ms // 1000}s allowedLateness={self.allowed_lateness_ms // 1000}s "
-            f"topic={self.topic} offsets={self.start_position} table={self.candles_table} "
-            f"secondStore={'on' if self.second_store else 'off'} runId={self.run_id}"
-        )
+        """All settings as one JSON text, to be stored next to the results they explain."""
+        return json.dumps(asdict(self))
 
     def as_row(self, spark: SparkSession) -> DataFrame:
         """The settings as a one-row frame for a ``runs`` table."""

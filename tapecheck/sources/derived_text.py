@@ -8,14 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapecheck.functions.timecols import epoch_ms, wall_clock
+from tapecheck.functions.timecols import epoch_ms, text, wall_clock
 from tapecheck.sources.trades import wire_json
 
-_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS"
-
-
 def _iso(ms: Column, hours: int = 0) -> Column:
-    return F.date_format(wall_clock(ms + hours * 3_600_000), _ISO)
+    return F.translate(text(wall_clock(ms + hours * 3_600_000)), " ", "T")
 
 
 def raw_frames(trades: DataFrame) -> DataFrame:

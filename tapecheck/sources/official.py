@@ -60,7 +60,8 @@ def official_rows(rows: DataFrame, fetched_at: Column, window_ms: int = MINUTE_M
 
     def number(name: str, parse) -> Column:
         c = F.col(name)
-        return parse(F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("0"))).alias(name)
+        blank = c.isNull() | c.rlike(r"^\s*$")
+        return parse(F.when(blank, "0").otherwise(c)).alias(name)
 
     return rows.select(
         "symbol", wall_clock(F.col("label_ms") - window_ms).alias("window_start"),

@@ -13,11 +13,10 @@ from tapecheck.sources.stores import with_day
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
-    """Session for stateful queries. The number of state partitions is fixed by the first run, so
-    it follows the cores that exist instead of a generic default."""
+    """Session for stateful queries. The first run fixes the number of state partitions for the life of
+    the checkpoint, so it is the configured one, whatever number of executors exists at the start."""
     s = spark.newSession()
-    have = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s.conf.set("spark.sql.shuffle.partitions", str(min(have, max(1, spark.sparkContext.defaultParallelism))))
+    s.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     return s
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,6 +50,7 @@ def start_candles(records: DataFrame, cfg: CandleSettings, paths: JobPaths, stri
     write = sinks.fan_out(
         sinks.with_retries(sinks.append_only(paths.at("candles"))),
         sinks.by_batch(paths.at("candles_second")) if cfg.second_store else None,
+        lambda batch_id, e: warnings.warn(f"second store lacks batch {batch_id} until refill_second: {e}", stacklevel=1),
     )
     return sc.to_batches(out, write, paths.checkpoint("candles"), trigger)
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapecheck.functions.timecols import utc_now
 from tapecheck.sources.stores import with_day
@@ -43,6 +45,29 @@ def by_batch(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def refill_second(spark: SparkSession, primary: str, secondary: str) -> int:
+    """Copy to the second store what only the first one has; returns the number of rows.
+
+    A failed write to the second store does not stop the job, so its rows are found by comparing the
+    stores and not by a log that could itself be lost.
+    """
+    have = spark.read.parquet(primary).select(*CANDLE_COLUMNS)
+    try:
+        there = spark.read.parquet(secondary).select(*CANDLE_COLUMNS)
+    except AnalysisException as e:  # no batch has ever arrived there
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        there = have.limit(0)
+    missing = have.join(there.select("symbol", "window_start", "run_id"), ["symbol", "window_start", "run_id"], "left_anti").persist()
+    try:
+        n = missing.count()
+        if n:
+            missing.select(*CANDLE_COLUMNS).write.parquet(f"{secondary}/batch_id=refill-{uuid.uuid4().hex}")
+        return n
+    finally:
+        missing.unpersist()
+
+
 def fan_out(
     primary: Callable[[DataFrame, int], None],
     secondary: Callable[[DataFrame, int], None] | None,

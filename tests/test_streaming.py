@@ -37,7 +37,7 @@ def test_third_record_is_late(spark):
         s(batch(spark, (e, 10)), n)
     letters = s.written_letters(spark).collect()
     assert [(x.stage, x.reason, x.symbol) for x in letters] == [("window", "late-window", "A")]
-    assert letters[0].payload.startswith(f"eventMs={T + 30_000} seq=0 price=10.0000 volume=1.00000000 connId=c1")
+    assert letters[0].payload.startswith(f'{{"event_ms":{T + 30_000},"seq_in_ms":0,"price":"10.0000","volume":"1.00000000","conn_id":"c1"')
     out = s.written_candles(spark).collect()
     assert len(out) == 1 and out[0].trade_count == 1
 
