@@ -141,7 +141,7 @@ class Index:
 
     def votes(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Share of the votes for toxic, and the examples."""
-        if not len(self.label):
+        if not len(self.label) or not len(q):
             return np.zeros(len(q)), np.zeros((len(q), 0), np.int64)
         similarity, example = self.nearest(q)
         weight = 1 / (1 - np.clip(similarity, 0, 1) + SOFT)
