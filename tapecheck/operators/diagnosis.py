@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tapecheck.functions.timecols import bucket_start, epoch_ms, wall_clock
-from tapecheck.operators.compare import KEY, mismatches, trade_count_check
+from tapecheck.functions.timecols import bucket_start, wall_clock
+from tapecheck.operators.compare import KEY, matched
 from tapecheck.operators.continuity import connection_gaps, connection_spans, is_real_origin
 
 
@@ -50,40 +50,45 @@ def gap_explained(diffs: DataFrame, trades: DataFrame, window_ms: int) -> DataFr
 def classify_mismatches(
     own: DataFrame, official: DataFrame, trades: DataFrame, window_ms: int
 ) -> DataFrame:
-    """One verdict per differing window; the first rule that holds wins."""
-    diffs = mismatches(own, official)
-    sym = adjacent_symmetry(diffs, window_ms)
+    """One verdict per differing window; the first rule that holds wins.
+
+    The stores are compared once, and one fold of the trades gives both the raw count and the
+    foreign flag. Each differing window meets its two neighbours in one aggregate over shifted copies.
+    """
+    diffs = matched(own, official).withColumns({
+        "vol_diff": (F.col("my_volume") - F.col("off_volume")).cast("decimal(18,8)"),
+        "close_diff": (F.col("my_close") - F.col("off_close")).cast("decimal(18,4)"),
+    }).filter("vol_diff <> 0 or close_diff <> 0")
     step = F.expr(f"INTERVAL {window_ms // 1000} SECONDS")
-    boundary = (
-        sym.select("symbol", F.explode(F.array(F.col("window_start"), F.col("window_start") + step)).alias("window_start"))
-        .distinct()
-        .withColumn("is_boundary", F.lit(1))
+    value = F.struct("vol_diff", "close_diff", "my_trade_count")
+    copies = [
+        F.struct((F.col("window_start") + shift).alias("window_start"), *[
+            F.when(F.lit(name == role), value if name == "own" else F.col("vol_diff")).alias(name) for name in ("own", "before", "after")
+        ])
+        for role, shift in (("own", F.expr("INTERVAL 0 SECONDS")), ("before", step), ("after", -step))
+    ]
+    around = diffs.select("symbol", F.explode(F.array(*copies)).alias("c")).select("symbol", "c.*").groupBy(*KEY).agg(
+        F.any_value("own", F.lit(True)).alias("own"), F.any_value("before", F.lit(True)).alias("before"), F.any_value("after", F.lit(True)).alias("after")
+    ).filter("own is not null").select(*KEY, "own.*", "before", "after")
+    raw = (
+        trades.groupBy("symbol", bucket_start("event_ms", window_ms).alias("window_ms"))
+        .agg(F.count(F.lit(1)).alias("raw_trades"), F.max(~is_real_origin()).alias("is_foreign"))
+        .select("symbol", wall_clock("window_ms").alias("window_start"), "raw_trades", "is_foreign")
     )
     gapped = gap_windows(connection_gaps(connection_spans(trades.filter(is_real_origin()))), window_ms).select(
-        "window_start", F.lit(1).alias("is_gap")
-    )
-    truncated = (
-        trade_count_check(trades, own, window_ms).filter(F.col("diff") > 0).select(*KEY, F.lit(1).alias("is_truncated"))
-    )
-    foreign = (
-        trades.filter(~is_real_origin())
-        .groupBy("symbol", bucket_start("event_ms", window_ms).alias("window_ms"))
-        .agg(F.lit(1).alias("is_foreign"))
-        .select("symbol", wall_clock("window_ms").alias("window_start"), "is_foreign")
+        "window_start", F.lit(True).alias("is_gap")
     )
     less = F.col("vol_diff") < 0
+    mirrored = F.coalesce(-F.col("vol_diff") == F.col("before"), F.lit(False)) | F.coalesce(-F.col("vol_diff") == F.col("after"), F.lit(False))
     return (
-        diffs.select(*KEY, "vol_diff", "close_diff")
-        .join(boundary, KEY, "left")
-        .join(truncated, KEY, "left")
-        .join(foreign, KEY, "left")
+        around.join(raw, KEY, "left")
         .join(gapped, "window_start", "left")
         .select(
             *KEY, "vol_diff", "close_diff",
-            F.when(F.col("is_boundary") == 1, "boundary")
-            .when(less & (F.col("is_gap") == 1), "source-gap")
-            .when(less & (F.col("is_truncated") == 1), "truncated")
-            .when(F.col("is_foreign") == 1, "contaminated")
+            F.when((F.col("vol_diff") != 0) & mirrored, "boundary")
+            .when(less & F.col("is_gap"), "source-gap")
+            .when(less & (F.col("raw_trades") > F.col("my_trade_count")), "truncated")
+            .when(F.col("is_foreign"), "contaminated")
             .otherwise("unexplained")
             .alias("verdict"),
         )
