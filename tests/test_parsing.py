@@ -126,4 +126,5 @@ def test_start_positions():
 def test_settings_row(spark):
     cfg = CandleSettings(run_id="r7", window_ms=60_000)
     r = cfg.as_row(spark).first()
-    assert r.run_id == "r7" and "window=60s watermarkDelay=5s idleness=10s allowedLateness=0s" in r.description
+    told = json.loads(r.description)
+    assert r.run_id == told["run_id"] == "r7" and told["window_ms"] == 60_000 and told["allowed_lateness_ms"] == 0
