@@ -9,8 +9,9 @@ Words are runs of digits, letters and characters beyond ASCII, A-Z lower-cased.
 64-bit hashes. A stretch of words none of which the items lack must be as long as the shortest
 window, so only such stretches are walked; the rest is skipped by array operations.
 
-Items are split into automata of at most ``WORDS`` words (an item is never split), so what is sent
-to an executor is bounded; with several automata each document meets each of them.
+Items are split into automata of at most ``WORDS`` words (an item is never split). Only one of them is
+built, sent and held at a time: with several, the documents pass through one after the other, and
+what each has found is written down before the next one comes.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tapecheck.llm import batches
+from tapecheck.llm.tables import stored
 
 WINDOW = 10
 #: Words of one automaton.
@@ -146,27 +148,42 @@ class Automaton:
                 yield int(row[s]), [(a + s, b + s) for a, b in spans], items
 
 
-def automata(benchmark: DataFrame, window: int = WINDOW, limit: int = WORDS) -> list[Automaton]:
-    """Automata of all items of ``benchmark`` (item_id, text), each of at most ``limit`` words or one item.
+def automata(benchmark: DataFrame, window: int = WINDOW, limit: int = WORDS) -> Iterator[Automaton]:
+    """Automata of all items of ``benchmark`` (item_id, text), each of at most ``limit`` words or one item; one without items if there are none.
 
-    Items come to the driver one part at a time; a part's size is bounded by its words.
+    Items come to the driver one Spark partition at a time and are forgotten with their automaton.
     """
-    out, part, names, size = [], [], [], 0
+    part, names, size, made = [], [], 0, False
     for row in benchmark.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator():
         words = text_words([row.text])[0]
         if part and size + len(words) > limit:
-            out.append(Automaton(part, names, window))
-            part, names, size = [], [], 0
+            yield Automaton(part, names, window)
+            part, names, size, made = [], [], 0, True
         part.append(words)
         names.append(row.item_id)
         size += len(words)
-    return [*out, Automaton(part, names, window)] if part else out
+    if part or not made:
+        yield Automaton(part, names, window)
 
 
 RESULT = "n_words bigint, n_hit bigint, items array<bigint>, spans array<struct<start:bigint,end:bigint>>"
+FOUND = ("n_words", "n_hit", "items", "spans")
 
 
-def _scan(sent, passed: list[str]):
+def _known(batch: pa.RecordBatch, at: int, n: int, off: np.ndarray, starts: np.ndarray, hit: np.ndarray) -> list[set[int]]:
+    """Items that earlier automata found in the rows from ``at`` on; marks the words of their spans."""
+    spans = batch["spans"].slice(at, n)
+    flat = spans.flatten()
+    row = np.repeat(np.arange(n), pa.compute.list_value_length(spans).to_numpy())
+    low, high = (np.searchsorted(starts, flat.field(k).to_numpy() + off[row]) for k in ("start", "end"))
+    change = np.zeros(len(hit) + 1, dtype=np.int64)
+    np.add.at(change, low, 1)
+    np.add.at(change, high, -1)
+    hit |= np.cumsum(change[:-1]) > 0
+    return [set(x) for x in batch["items"].slice(at, n).to_pylist()]
+
+
+def _scan(sent, passed: list[str], again: bool):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             texts = batches.texts_of(batch["text"])
@@ -174,14 +191,14 @@ def _scan(sent, passed: list[str]):
                 n = end - at
                 h, row, starts, ends = batches.words(data, off)
                 hit = np.zeros(len(h), dtype=bool)
-                items: list[set[int]] = [set() for _ in range(n)]
-                for machine in sent.value:
-                    for k, spans, names in machine.find(h, row):
-                        items[k] |= names
-                        for a, b in spans:
-                            hit[a:b] = True
+                items: list[set[int]] = _known(batch, at, n, off, starts, hit) if again else [set() for _ in range(n)]
+                for k, spans, names in sent.value.find(h, row):
+                    items[k] |= names
+                    for a, b in spans:
+                        hit[a:b] = True
                 # spans of hit words, as bytes of the text: from the first word's start to the last one's end
-                first, last, _ = batches.spans(hit, np.concatenate(([0], np.flatnonzero(row[1:] != row[:-1]) + 1, [len(h)])) if len(h) else np.zeros(1, int))
+                edges = np.concatenate(([0], np.flatnonzero(row[1:] != row[:-1]) + 1, [len(h)])) if len(h) else np.zeros(1, int)
+                first, last, _ = batches.spans(hit, edges)
                 where = row[first]
                 low, high = starts[first] - off[where], ends[last - 1] - off[where]
                 bounds = np.searchsorted(where, np.arange(n + 1)).astype(np.int32)
@@ -194,7 +211,7 @@ def _scan(sent, passed: list[str]):
                         pa.array([sorted(x) for x in items], pa.list_(pa.int64())),
                         pa.ListArray.from_arrays(pa.array(bounds), spans),
                     ],
-                    names=[*passed, "n_words", "n_hit", "items", "spans"],
+                    names=[*passed, *FOUND],
                 )
 
     return run
@@ -202,10 +219,14 @@ def _scan(sent, passed: list[str]):
 
 def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = WORDS) -> DataFrame:
     """``docs`` with n_words, n_hit, items and spans (bytes of the UTF-8 text, whole hit words) in place of columns of those names."""
-    own = docs.select(*[docs[c] for c in docs.columns if c not in ("n_words", "n_hit", "items", "spans")])
-    sent = docs.sparkSession.sparkContext.broadcast(automata(benchmark, window, limit))
+    own = docs.select(*[docs[c] for c in docs.columns if c not in FOUND])
     schema = StructType([*own.schema.fields, *StructType.fromDDL(RESULT).fields])
-    return own.mapInArrow(_scan(sent, own.columns), schema)
+    passed, out = own.columns, None
+    for machine in automata(benchmark, window, limit):
+        sent = docs.sparkSession.sparkContext.broadcast(machine)
+        before = own if out is None else stored(out, "leaks")
+        out = before.mapInArrow(_scan(sent, passed, out is not None), schema)
+    return out
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
