@@ -320,6 +320,6 @@ def _(spark, d):
 )
 def _(spark, d):
     # Candles are small: rows of one day go to one writer, days are spread over the writers.
-    path = stores.write_by_day(cd.candles(dv.events_trades(spark, d), HOUR_MS), "window_start", "candles_1m", writers=8)
+    path = stores.write_by_day(cd.candles(dv.events_trades(spark, d), HOUR_MS), "window_start", "candles_1m", one_writer_per_day=True)
     rows = stores.read_days(spark, path).withColumn("file", F.input_file_name())
     return rows.groupBy("day").agg(F.count(F.lit(1)).alias("windows"), F.countDistinct("file").alias("files"))

@@ -24,18 +24,18 @@ def with_day(df: DataFrame, time_col: str) -> DataFrame:
 
 def write_by_day(
     df: DataFrame, time_col: str, name: str, path: str | None = None, mode: str = "append",
-    sort_by: list[str] | None = None, writers: int | None = None,
+    sort_by: list[str] | None = None, one_writer_per_day: bool = False,
 ) -> str:
     """Write one folder per day, rows sorted inside each file.
 
     By default AQE's rebalance decides: small days end in one file, a hot day is split over
-    several tasks instead of going through one. ``writers`` sends each day to one of that many
-    writers, for small tables (candles) that should have one file per day.
+    several tasks instead of going through one. ``one_writer_per_day`` is for small tables (candles)
+    that should have one file per day; the days are spread over as many tasks as the session shuffles to.
     """
     path = path or shared_dir(df.sparkSession, name)
     d = with_day(df, time_col)
-    if writers:
-        d = d.repartition(writers, "day")
+    if one_writer_per_day:
+        d = d.repartition("day")
     else:
         d = d.hint("rebalance", "day")
     keys = [c for c in (sort_by or SORT_KEYS.get(name, [])) if c in df.columns]
