@@ -3,8 +3,16 @@
 Documents fall into cells of source x language x topic. The token counts of the cells are raked: the
 cells' weights are scaled to the target share of each source, then of each language, then of each
 topic, again and again, until all three marginals hold. A document is then kept with a probability
-proportional to its cell's weight per token, as large as possible (the largest probability is
-1), drawn from a hash of its doc_id and text, so a repeated run keeps the same documents.
+proportional to its cell's weight per token, drawn from a hash of its doc_id and text, so a repeated
+run keeps the same documents.
+
+Size: ``keep`` (a share of the tokens) or ``budget`` (tokens) states it. Without them the mix is as large
+as the weights allow (the largest probability is 1), but at least ``KEEP`` of the tokens, so that a
+category of a few documents cannot set the size of the whole. Shares that ``targets`` names are binding:
+where they leave room for less than all tokens, it is at least ``KEEP`` of that room. Where a cell's probability would pass 1 it
+stays at 1, and the weight it lacks goes to the other cells of its categories, raked anew until stable.
+A category whose tokens fall short of its target is kept whole; the others of its dimension share what
+is missing in proportion to their targets. ``Plan.missed`` lists the targets that are not reached.
 
 Targets: a category that ``targets`` names gets its share; all others of that dimension together get
 the rest, in the proportions they have. Cells are counted over all documents; their number is bounded
@@ -17,6 +25,7 @@ gives one bit each. Texts of similar vocabulary fall into the same topic.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +48,10 @@ NONE = "(none)"
 ROUNDS, TOLERANCE = 200, 1e-9
 #: Target shares are the shares of tokens to this power, scaled to one: the smaller, the more even.
 EVENNESS = 0.5
+#: Share of the tokens that is kept at least if no size is stated and no target is named.
+KEEP = 0.5
+#: A category's share that is off its target by more than this part of it is reported.
+MISSED = 1e-6
 
 U = np.uint64
 
@@ -75,6 +88,8 @@ class Plan:
     means: dict[str, tuple[float, ...]]
     named: dict[str, frozenset[str]]
     probability: dict[tuple[str, str, str], float]
+    #: (dimension, category, target share, share reached), the largest differences first.
+    missed: tuple[tuple[str, str, float, float], ...] = ()
 
     def cells(self, source, lang, z: np.ndarray) -> list[tuple[str, str, str]]:
         out = []
@@ -106,7 +121,54 @@ def rake(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray])
     return weight / weight.sum()
 
 
-def plan(features: DataFrame, targets: dict[str, dict[str, float]] | None = None, evenness: float = EVENNESS) -> Plan:
+def scaled(tokens: np.ndarray, p: np.ndarray, code: np.ndarray, want: np.ndarray) -> np.ndarray:
+    """``p`` times one factor for each category, so that the sum of tokens * min(p, 1) is ``want`` in each of them.
+
+    A category whose tokens are fewer than that gets the factor that lifts all its cells to 1.
+    """
+    n = len(want)
+    have, free = (np.bincount(code, weights=x, minlength=n) for x in (tokens, tokens * p))
+    least = np.full(n, np.inf)
+    np.minimum.at(least, code[p > 0], p[p > 0])
+    whole = want >= have * (1 - 1e-12)
+    # from below the root: each step finds more cells that are full, and the others share the rest
+    factor = np.divide(want, free, out=np.ones(n), where=free > 0)
+    factor = np.where(whole, np.where(np.isfinite(least), 1 / least, 1), factor)
+    full = np.zeros(len(p), dtype=bool)
+    while (more := (p * factor[code] > 1) & ~full & ~whole[code]).any():
+        full |= more
+        lacks = want - np.bincount(code, weights=tokens * full, minlength=n)
+        free = np.bincount(code, weights=tokens * p * ~full, minlength=n)
+        factor = np.where(whole | (free <= 0), factor, np.divide(np.maximum(lacks, 0), free, out=np.ones(n), where=free > 0))
+    return np.clip(p * factor[code], 0, 1e100)
+
+
+def saturated(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], size: float) -> np.ndarray:
+    """Keep probabilities of the cells, ``size`` tokens together, whose marginals are the targets as far as the tokens go."""
+    size = min(size, tokens.sum())
+    wants = []
+    for code, target in zip(codes, targets, strict=True):
+        have = np.bincount(code, weights=tokens, minlength=len(target))
+        one = np.zeros(len(have), dtype=np.int64)
+        share = np.divide(target, have, out=np.zeros(len(have)), where=have > 0)
+        wants.append(have * np.minimum(scaled(have, share, one, np.array([size])), 1))
+    p = np.full(len(tokens), size / tokens.sum())
+    for _ in range(ROUNDS):
+        before = np.minimum(p, 1)
+        for code, want in zip(codes, wants, strict=True):
+            p = scaled(tokens, p, code, want)
+        if np.abs(np.minimum(p, 1) - before).max() < TOLERANCE:
+            break
+    return np.minimum(p, 1)
+
+
+def plan(
+    features: DataFrame,
+    targets: dict[str, dict[str, float]] | None = None,
+    evenness: float = EVENNESS,
+    keep: float | None = None,
+    budget: float | None = None,
+) -> Plan:
     """The keep probabilities for the documents in ``features`` (source, lang, n_tokens, z0..).
 
     Without targets for a dimension its shares of tokens are evened out by ``evenness``.
@@ -134,23 +196,37 @@ def plan(features: DataFrame, targets: dict[str, dict[str, float]] | None = None
     if not cells:
         return Plan(means, named, {})
     tokens = np.array([r.n for r in cells], dtype=np.float64)
-    codes, wanted = [], []
+    codes, wanted, names, room = [], [], [], 1.0
     for d in DIMENSIONS:
-        values = sorted({r[d] for r in cells})
-        code = np.array([values.index(r[d]) for r in cells])
+        values, code = np.unique([r[d] for r in cells], return_inverse=True)
         share = np.bincount(code, weights=tokens) / tokens.sum()
         if d in targets:
             set_ = np.array([targets[d].get(v, -1.0) for v in values])
             others = share[set_ < 0].sum()
             rest = max(0.0, 1.0 - set_[set_ >= 0].sum())
             target = np.where(set_ >= 0, set_, rest * share / others if others else 0.0)
+            room = min([room, *(share[set_ > 0] / set_[set_ > 0])])
         else:
             target = share**evenness
         codes.append(code)
         wanted.append(target / target.sum())
+        names.append(values)
     each = rake(tokens, codes, wanted) / tokens
     each = each / each.max()
-    return Plan(means, named, {tuple(r[d] for d in DIMENSIONS): float(p) for r, p in zip(cells, each, strict=True)})
+    if keep is not None or budget is not None:
+        each = saturated(tokens, codes, wanted, budget if budget is not None else keep * tokens.sum())
+    elif (each * tokens).sum() < KEEP * room * tokens.sum():
+        each = saturated(tokens, codes, wanted, KEEP * room * tokens.sum())
+    missed = []
+    for d, values, code, target in zip(DIMENSIONS, names, codes, wanted, strict=True):
+        got = np.bincount(code, weights=each * tokens, minlength=len(target))
+        got = got / max(got.sum(), 1e-300)
+        missed += [(d, str(values[k]), float(target[k]), float(got[k])) for k in np.flatnonzero(np.abs(got - target) > MISSED * target)]
+    missed.sort(key=lambda x: -abs(x[3] - x[2]))
+    if missed:
+        some = ", ".join(f"{d} {v}: {g:.3g} instead of {t:.3g}" for d, v, t, g in missed[:5])
+        warnings.warn(f"{len(missed)} target shares of the mix are not reached: {some}", stacklevel=2)
+    return Plan(means, named, {tuple(r[d] for d in DIMENSIONS): float(p) for r, p in zip(cells, each, strict=True)}, tuple(missed))
 
 
 def _weighed(sent, passed: list[str]):
@@ -174,7 +250,13 @@ def _weighed(sent, passed: list[str]):
 WEIGHED = "n_tokens bigint, topic string, probability double, kept boolean"
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, evenness: float = EVENNESS) -> DataFrame:
+def mixed(
+    docs: DataFrame,
+    targets: dict[str, dict[str, float]] | None = None,
+    evenness: float = EVENNESS,
+    keep: float | None = None,
+    budget: float | None = None,
+) -> DataFrame:
     """``docs`` with n_tokens, topic, probability and kept in place of columns of those names; all rows.
 
     Null sources and languages are categories of their own. Texts without words weigh nothing and are
@@ -183,6 +265,6 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, e
     new = StructType.fromDDL(WEIGHED)
     own = docs.select(*[docs[c] for c in docs.columns if c not in new.names])
     features = own.select("doc_id", "text", "source", "lang").mapInArrow(_features, FEATURES)
-    made = plan(stored(features, "mix-features"), targets, evenness)
+    made = plan(stored(features, "mix-features"), targets, evenness, keep, budget)
     sent = docs.sparkSession.sparkContext.broadcast(made)
     return own.mapInArrow(_weighed(sent, own.columns), StructType([*own.schema.fields, *new.fields]))

@@ -93,6 +93,34 @@ def test_mix_meets_all_marginals(spark):
     assert all(r.n_tokens == len(brute.words(t.text)) for r, t in zip(mixing.mixed(docs.limit(50)).orderBy("doc_id").collect(), docs.limit(50).orderBy("doc_id").collect(), strict=True))
 
 
+@pytest.mark.parametrize("size", [300, 3000])
+def test_a_tiny_source_does_not_set_the_size_of_the_mix(spark, size):
+    rows = [(k, f"word{k % 7} and word{k % 11} then some more words of text {k}", f"src{k % 3}", "en" if k % 4 else "de") for k in range(size)]
+    rows += [(-1, "one document of a source of its own", "single", "en"), (-2, "no source at all in this one", None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    got = mixing.mixed(docs).collect()
+    total, weight = sum(r.n_tokens for r in got), sum(r.n_tokens * r.probability for r in got)
+    assert weight >= 0.499 * total and all(r.probability > 0.999 for r in got if r.doc_id < 0)
+    features = docs.mapInArrow(mixing._features, mixing.FEATURES)
+    with pytest.warns(UserWarning, match="not reached"):
+        made = mixing.plan(features, keep=0.3)
+    assert {("source", "single"), ("source", mixing.NONE)} <= {x[:2] for x in made.missed}
+    for want in ({"keep": 0.3}, {"budget": 0.3 * total}):
+        assert abs(sum(r.n_tokens * r.probability for r in mixing.mixed(docs, **want).collect()) - 0.3 * total) < 1e-4 * total
+
+
+def test_cells_saturate_and_the_others_take_their_weight():
+    rng = np.random.default_rng(4)
+    codes = [np.repeat(np.arange(6), 12), np.tile(np.repeat(np.arange(3), 4), 6), np.tile(np.arange(4), 18)]
+    tokens = rng.lognormal(5, 2, 72)
+    targets = [np.bincount(c, weights=tokens) ** 0.5 for c in codes]
+    targets = [t / t.sum() for t in targets]
+    for size in (0.05, 0.4, 0.9, 1.0):
+        p = mixing.saturated(tokens, codes, targets, size * tokens.sum())
+        assert abs((p * tokens).sum() / (size * tokens.sum()) - 1) < 1e-3 and 0 <= p.min() and p.max() <= 1
+    assert (p > 1 - 1e-9).all()
+
+
 def test_mix_of_odd_rows(spark, odd_docs, no_docs):
     got = mixing.mixed(odd_docs).collect()
     assert len(got) == odd_docs.count() and all(0 <= r.probability <= 1 for r in got)
