@@ -1,13 +1,13 @@
 """Fuzzy line deduplication: of all lines that are alike, across all documents, one stays.
 
 Lines are compared in lower case with white space runs as one space, by the sets of their
-``SHINGLE`` consecutive bytes. MinHash signatures (one hash a shingle, dealt over bins; an empty
+``SHINGLE`` consecutive characters. MinHash signatures (one hash a shingle, dealt over bins; an empty
 bin borrows from another one) propose pairs in bands, the exact Jaccard similarity of the two sets
 decides, and union-find over the links names one component for all lines that hang together. Of a
 component the line of the smallest (doc_id, position) stays.
 
 Only lines of ``MIN_WORDS`` words or more take part; shorter ones ("}", "Yes.") recur without being
-copies. A null text counts as empty and stays null. Blank lines stay. A text all of whose lines
+copies (``min_words=1`` lets every line take part). In scripts without spaces each character counts as a word. A null text counts as empty and stays null. Blank lines stay. A text all of whose lines
 go is empty; ``drop_emptied`` drops such documents (documents that came empty always stay). Rows with
 the same doc_id and text are one document that appears several times: they lose the same lines.
 """
@@ -28,10 +28,12 @@ from tapecheck.llm.tables import Sieve, keyed, stored
 
 MIN_WORDS = 5
 THRESHOLD = 0.8
-#: Bytes of a shingle: about two words.
-SHINGLE = 12
-#: Rows of a band and bands. Two lines of similarity 0.8 share a band with probability 0.987.
-ROWS, BANDS = 3, 6
+#: Characters of a shingle. One changed character touches five shingles, so lines of 49 characters can still be alike.
+SHINGLE = 5
+#: Rows of a band and bands. Two lines of similarity 0.8 share a band with probability 0.991.
+ROWS, BANDS = 5, 12
+#: Characters that are written without spaces between words: Thai to Lao, Burmese, Khmer, Chinese and Japanese.
+SPACELESS = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 
 U = np.uint64
 
@@ -45,21 +47,23 @@ def normalised(lines: pa.Array) -> pa.Array:
     return lines
 
 
-def _shingle_spans(off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start of every shingle and its row; a shorter row is one shingle."""
-    length = np.diff(off)
+def _shingle_spans(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every shingle of ``width`` characters and its row; a shorter row is one shingle."""
+    lead = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    at = np.searchsorted(lead, off)
+    length = np.diff(at)
     count = np.where(length > 0, np.maximum(length - width + 1, 1), 0)
     row = np.repeat(np.arange(len(length)), count)
-    start = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + off[row]
-    return start, row
+    start = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + at[row]
+    return lead[start], lead[np.minimum(start + width, at[row + 1])], row
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, row, 1) of the distinct shingles of each normalised line."""
     texts, found = batches.texts_of(texts), []
     for at, _, data, off in batches.chunks(texts):
-        start, row = _shingle_spans(off, width)
-        h = batches.span_hashes(batches.prefix_hashes(data), start, np.minimum(start + width, off[row + 1]))
+        start, end, row = _shingle_spans(data, off, width)
+        h = batches.span_hashes(batches.prefix_hashes(data), start, end)
         h, r, _ = batches.occurrences(h, row + at)
         found.append((h, r))
     if not found:
@@ -71,8 +75,8 @@ def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.
 def signatures(data: np.ndarray, off: np.ndarray, sums: np.ndarray, bins: int, width: int = SHINGLE) -> np.ndarray:
     """A value for each (line, bin): the smallest hash among the line's shingles of that bin."""
     rows = len(off) - 1
-    start, row = _shingle_spans(off, width)
-    h = batches.span_hashes(sums, start, np.minimum(start + width, off[row + 1]))
+    start, end, row = _shingle_spans(data, off, width)
+    h = batches.span_hashes(sums, start, end)
     none = ~U(0)
     out = np.full(rows * bins, none, dtype=np.uint64)
     np.minimum.at(out, row * bins + (h % U(bins)).astype(np.int64), h >> U(8))
@@ -98,8 +102,12 @@ def _lines(texts: pa.Array, min_words: int) -> Iterator[tuple[np.ndarray, ...]]:
         first = first - first[0]
         row = np.repeat(np.arange(at, end), np.diff(first))
         position = np.arange(len(row)) - first[row - at]
-        spaces = pc.count_substring(flat, " ").to_numpy(zero_copy_only=False)
-        keep = np.flatnonzero(spaces + 1 >= min_words)
+        count = pc.count_substring(flat, " ").to_numpy(zero_copy_only=False) + 1
+        wide = (count < min_words) & (pc.binary_length(flat).to_numpy(zero_copy_only=False) > pc.utf8_length(flat).to_numpy(zero_copy_only=False))
+        if wide.any():
+            some = np.flatnonzero(wide)
+            count[some] += pc.count_substring_regex(flat.take(pa.array(some)), SPACELESS).to_numpy(zero_copy_only=False)
+        keep = np.flatnonzero(count >= min_words)
         for low, high, data, off in batches.chunks(flat.take(pa.array(keep))):
             sums = batches.prefix_hashes(data)
             took = keep[low:high]
