@@ -7,8 +7,8 @@ doc_id (a null doc_id counts as larger than any other).
 ``build_index`` turns the winners among historical documents into an index: the distinct digests are dealt to shards
 by prefix, and each shard is one row that holds a minimal perfect hash (levels of bit arrays, a key
 settles in the first level where it alone hits its bit; its slot is the rank of that bit) and slots
-of 32 digest bytes, winner length and winner doc_id. A shard holds about ``SHARD`` digests; shards
-grow with the history, none of them passes through the driver.
+of 32 digest bytes, winner length and winner doc_id. A shard holds about ``SHARD`` digests at most, of the history
+and of the new ones; shards grow with the larger of the two, none of them passes through the driver.
 
 ``lookup`` sends each distinct new digest to its shard, computes its slot and compares all 32 bytes, since
 a perfect hash maps strangers to slots too. Members take over the historical winner's locator;
@@ -147,9 +147,10 @@ def exact_dedup(docs: DataFrame, is_history: Column) -> DataFrame:
     """
     rows = stored(digests(docs, F.coalesce(is_history, F.lit(False)).alias("old")), "digests")
     old = stored(winners(rows.where("old")), "history")
-    shards = max(1, -(-old.count() // SHARD))
+    new = stored(winners(rows.where("not old")), "new")
+    shards = max(1, -(-max(old.count(), new.count()) // SHARD))
     index = stored(build_index(old, shards), "index")
-    found = lookup(index, winners(rows.where("not old")), shards)
+    found = lookup(index, new, shards)
     found = stored(found, "found")
     # members join the historical group; nonmembers are groups of their own
     news = found.where("old_id is not null").select("digest", F.col("n").alias("more"), F.struct("minus", "id").alias("newcomer"))

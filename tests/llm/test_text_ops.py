@@ -174,3 +174,19 @@ def test_strangers_are_told_from_members(spark):
     new = exact.winners(exact.digests(spark.range(4000).selectExpr("id as doc_id", "concat(if(id < 1000, 'old', 'new'), id) as text")))
     found = exact.lookup(exact.build_index(old, 3), new, 3)
     assert found.count() == 4000 and found.where("old_id is not null").count() == 1000
+
+
+@pytest.mark.parametrize("history", [0, 1])
+def test_exact_dedup_of_a_short_history_is_dealt_to_many_shards(spark, monkeypatch, history):
+    monkeypatch.setattr(exact, "SHARD", 20)
+    most, lookup = [], exact.lookup
+
+    def watched(index, new, shards):
+        most.append(new.groupBy(exact.shard_of(shards)).count().agg(F.max("count")).first()[0])
+        return lookup(index, new, shards)
+
+    monkeypatch.setattr(exact, "lookup", watched)
+    docs = spark.createDataFrame([(k, f"text {k % 600}") for k in range(1000)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact.exact_dedup(docs, F.col("doc_id") < history).collect()}
+    assert got == {k: (k % 600, 2 if k % 600 < 400 else 1, k < 600) for k in range(1000)}
+    assert most[0] < 60
