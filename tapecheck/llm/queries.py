@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapecheck.llm import copies, exact, leaks, lines, mixing, pages, private, quality, tokens, toxicity
+from tapecheck.llm import copies, exact, leaks, lines, mixing, pages, periods, private, quality, tokens, toxicity
 from tapecheck.llm.tables import keyed, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,11 @@ def op4_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.personal_data(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digest(periods.periodic_runs(table(spark, sf_dir, "documents"), planted=True))
+
+
 def _words(text: str) -> str:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return rf"regexp_extract_all(translate(coalesce({text}, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
