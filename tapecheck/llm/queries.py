@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapecheck.llm import copies, exact, leaks, lines, mixing, pages, periods, private, quality, tokens, toxicity
+from tapecheck.llm import copies, curves, exact, leaks, lines, mixing, pages, periods, private, quality, ranked, tokens, toxicity
 from tapecheck.llm.tables import keyed, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,16 @@ def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.digest(periods.periodic_runs(table(spark, sf_dir, "documents"), planted=True))
 
 
+@query
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def _words(text: str) -> str:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return rf"regexp_extract_all(translate(coalesce({text}, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -139,3 +149,18 @@ ORACLE["op7_decontamination"] = f"""
            sha256(coalesce(ids.v, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
     FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
+
+ORACLE["op12_dual_tree_search"] = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_words("text")} AS w FROM documents),
+    total AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS nd, sum(len(w))::BIGINT AS l FROM d),
+    tf AS (SELECT r, doc_id, len(w)::BIGINT AS n, term, count(*) AS tf
+           FROM (SELECT r, doc_id, w, unnest(w) AS term FROM d) GROUP BY r, doc_id, len(w), term),
+    i AS (SELECT row_number() OVER () AS q, item_id, {_words("text")} AS w FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)),
+    wanted AS (SELECT q, item_id, term, count(*) AS c FROM (SELECT q, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+    weight AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * nd + 2) / (2 * count(*) + 1)))::BIGINT AS wt FROM tf, total GROUP BY term, nd),
+    scored AS (
+        SELECT q, item_id, r, doc_id, sum(c * wt * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // l))))::BIGINT AS score
+        FROM wanted JOIN weight USING (term) JOIN tf USING (term), total GROUP BY q, item_id, r, doc_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
