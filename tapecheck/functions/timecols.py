@@ -25,6 +25,13 @@ def epoch_ms(ts: Column | str) -> Column:
     )
 
 
+def epoch_us(ts: Column | str) -> Column:
+    """Microseconds since 1970 of a UTC wall-clock timestamp."""
+    t = _col(ts)
+    whole = F.unix_date(F.to_date(t)).cast("bigint") * 86_400 + F.hour(t).cast("bigint") * 3_600 + F.minute(t).cast("bigint") * 60
+    return whole * 1_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+
+
 def wall_clock(ms: Column | str) -> Column:
     """Inverse of :func:`epoch_ms`."""
     return F.timestamp_add("MILLISECOND", _col(ms), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
@@ -51,18 +58,22 @@ def kst_text(ts: Column | str) -> Column:
     return text(_col(ts) + F.expr(f"INTERVAL {KST_HOURS} HOURS"))
 
 
+def fits_key(seq: Column | str) -> Column:
+    """Whether a number in the millisecond (or a missing one, which counts as 0) fits the packed order key."""
+    return F.coalesce(_col(seq).cast("bigint"), F.lit(0)).between(0, (1 << SEQUENCE_BITS) - 1)
+
+
 def arrival_key(event_ms: Column | str, seq: Column | str) -> Column:
     """(event_ms, seq) packed into one BIGINT that sorts the same way.
 
     A single BIGINT keeps ``min_by``/``max_by`` in a hash aggregate; a struct key would force
     a sort of the raw rows. 20 bits hold the in-millisecond number, 43 bits the time (until
-    the year 2248). A number outside that range is an error, never a wrong order; see
-    :func:`wide_arrival_key`.
+    the year 2248). A missing number counts as 0: a key of NULL would drop the trade from open and close.
+    A number outside that range is an error, never a wrong order; see :func:`wide_arrival_key`.
     """
-    number = _col(seq).cast("bigint")
+    number = F.coalesce(_col(seq).cast("bigint"), F.lit(0))
     packed = F.shiftleft(_col(event_ms).cast("bigint"), SEQUENCE_BITS) + number
-    fits = number.isNull() | number.between(0, (1 << SEQUENCE_BITS) - 1)
-    return F.when(fits, packed).otherwise(
+    return F.when(fits_key(seq), packed).otherwise(
         F.raise_error(F.lit("number in the millisecond does not fit the packed key; use wide_numbers")).cast("bigint")
     )
 
@@ -70,7 +81,7 @@ def arrival_key(event_ms: Column | str, seq: Column | str) -> Column:
 def wide_arrival_key(event_ms: Column | str, seq: Column | str) -> Column:
     """The same order for any BIGINT number, as a DECIMAL: still a hash aggregate, but slower to build."""
     half = F.lit("1" + "0" * 19).cast("decimal(20,0)")
-    return (_col(event_ms).cast("decimal(18,0)") * half + _col(seq).cast("decimal(19,0)")).cast("decimal(38,0)")
+    return (_col(event_ms).cast("decimal(18,0)") * half + F.coalesce(_col(seq).cast("decimal(19,0)"), F.lit(0).cast("decimal(19,0)"))).cast("decimal(38,0)")
 
 
 def utc_now() -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tapecheck.functions.numbers import price_of, volume_of
-from tapecheck.functions.timecols import text as time_text, utc_now
+from tapecheck.functions.timecols import fits_key, text as time_text, utc_now
 from tapecheck.schema import WIRE_TRADE
 from tapecheck.sources.frames import is_blank
 
@@ -26,7 +26,9 @@ def classify(records: DataFrame, value: str = "value") -> DataFrame:
     """Parse wire JSON once and give every record a ``reason``: NULL when it is a good trade.
 
     The first rule that matches wins. Records without a value are skipped. Numbers that are not
-    numbers are caught here too, before the record fans out to the archive and the fold.
+    numbers are caught here too, before the record fans out to the archive and the fold; so are numbers in
+    the millisecond that the packed order key cannot hold (negative, or 2^20 and more), because a fold that met one would
+    fail on it again after every restart. A missing number in the millisecond counts as 0.
     """
     r = records.filter(F.col(value).isNotNull()).withColumn("value_text", F.col(value).cast("string"))
     parsed = F.from_json("value_text", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
@@ -38,20 +40,20 @@ def classify(records: DataFrame, value: str = "value") -> DataFrame:
         F.when(F.col("t").isNull() | F.col("t._bad").isNotNull(), "malformed-json")
         .when(is_blank(F.col("t.symbol")), "missing-symbol")
         .when(is_blank(F.col("t.price")) | is_blank(F.col("t.volume")) | F.col("t.event_ms").isNull(), "missing-field")
-        .when(F.col("price_n").isNull() | F.col("volume_n").isNull(), "malformed-number")
+        .when(F.col("price_n").isNull() | F.col("volume_n").isNull() | ~fits_key("t.seq_in_ms"), "malformed-number")
     )
     return r.withColumn("reason", reason)
 
 
 def good_trades(classified: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Valid records as typed trades with their log coordinates (-1 when unknown)."""
+    """Valid records as typed trades with their log coordinates (-1 when unknown); a missing number in the millisecond is 0."""
     have = classified.columns
 
     def coordinate(name: str, source: str, dtype: str) -> Column:
         return (F.col(source) if source in have else F.lit(-1)).cast(dtype).alias(name)
 
     return classified.filter(F.col("reason").isNull()).select(
-        "t.symbol", "t.event_ms", "t.seq_in_ms", "t.ingest_ms",
+        "t.symbol", "t.event_ms", F.coalesce("t.seq_in_ms", F.lit(0)).alias("seq_in_ms"), "t.ingest_ms",
         F.col("price_n").alias("price"), F.col("volume_n").alias("volume"),
         "t.currency", "t.conn_id", "t.recv_seq",
         coordinate("kafka_partition", "partition", "int"), coordinate("kafka_offset", "offset", "bigint"),
@@ -90,18 +92,23 @@ def dead_letter_summary(letters: DataFrame) -> DataFrame:
     """Per stage and reason: how many, how many symbols, when, and one sample (the earliest, so
     that every run shows the same).
 
-    The exact distinct count and the sample are reduced per (stage, reason, symbol) first, so a
-    reason that makes up most of the table is spread over tasks.
+    Counts are reduced per (stage, reason, symbol) first, so a reason that makes up most of the table is spread
+    over tasks. All values of that step are numbers, which keeps it a hash aggregate; the sample comes from the few
+    letters that were seen first, by a join with one row per (stage, reason).
     """
-    sample = F.substring("payload", 1, SAMPLE_CHARS)
-    per_symbol = letters.groupBy("stage", "reason", "symbol").agg(
-        F.count(F.lit(1)).alias("n"), F.min("seen_at").alias("t0"), F.max("seen_at").alias("t1"),
-        F.min(F.struct(F.col("seen_at"), sample.alias("p"))).alias("s"),
+    key = ["stage", "reason"]
+    per_symbol = letters.groupBy(*key, "symbol").agg(
+        F.count(F.lit(1)).alias("n"), F.min("seen_at").alias("t0"), F.max("seen_at").alias("t1")
+    )
+    whole = per_symbol.groupBy(*key).agg(
+        F.sum("n").alias("dropped"), F.count(F.lit(1)).alias("symbols"), F.min("t0").alias("t0"), F.max("t1").alias("t1")
+    )
+    sample = F.substring("payload", 1, SAMPLE_CHARS).alias("sample")
+    early = letters.select(*[F.col(c).alias(f"_{c}") for c in key], F.col("seen_at").alias("_seen_at"), sample)
+    first = Window.partitionBy(*key).orderBy("sample")
+    return (
+        whole.join(early, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key] + [F.col("t0").eqNullSafe(F.col("_seen_at"))])
+        .withColumn("_n", F.row_number().over(first))
+        .where("_n = 1")
+        .select(*key, "dropped", "symbols", time_text("t0").alias("first_seen"), time_text("t1").alias("last_seen"), "sample")
     )
-    return per_symbol.groupBy("stage", "reason").agg(
-        F.sum("n").alias("dropped"),
-        F.count(F.lit(1)).alias("symbols"),
-        time_text(F.min("t0")).alias("first_seen"),
-        time_text(F.max("t1")).alias("last_seen"),
-        F.min("s").alias("s"),
-    ).select("stage", "reason", "dropped", "symbols", "first_seen", "last_seen", F.col("s.p").alias("sample"))

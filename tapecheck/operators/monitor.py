@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tapecheck.functions.timecols import wall_clock
+from tapecheck.functions.timecols import wall_clock, wide_arrival_key
 from tapecheck.operators.scan import last_before, ordered_scan
 
 
@@ -76,7 +76,7 @@ def level(
     so the rows follow the samples and not series x steps.
     """
     per = samples.groupBy(*series, step_of("ts_ms", step_ms).alias("eval_ms")).agg(
-        F.max_by("value", F.struct("ts_ms", tie)).alias(name), F.max("ts_ms").alias("at_ms")
+        F.max_by("value", wide_arrival_key("ts_ms", tie)).alias(name), F.max("ts_ms").alias("at_ms")
     )
     last = F.lit(per.agg(F.max("eval_ms")).first()[0]).cast("bigint")
     following = F.lead("eval_ms").over(_ordered(series)) - step_ms
@@ -129,7 +129,7 @@ def inhibit(firing: DataFrame, by: DataFrame) -> DataFrame:
 def state_at(samples: DataFrame, series: list[str], as_of_ms: int, tie: str) -> DataFrame:
     """Latest value of every series at a time."""
     known = samples.filter(F.col("ts_ms") <= F.lit(as_of_ms).cast("bigint"))
-    return known.groupBy(*series).agg(F.max_by("value", F.struct("ts_ms", tie)).alias("value"))
+    return known.groupBy(*series).agg(F.max_by("value", wide_arrival_key("ts_ms", tie)).alias("value"))
 
 
 def unread_partitions(end_offsets: DataFrame, committed: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from tapecheck.operators import letters as lt
 from tapecheck.operators.scan import max_before, measure_slices, ordered_scan, rows_before, sum_upto
 
 
@@ -21,6 +22,23 @@ def arrival_range(
     return ranked.filter(keep)
 
 
+def scan_records(records: DataFrame, store: str) -> dict[str, int]:
+    """Read topic records once, write the good trades to ``store``, and count what was met on the way.
+
+    The counts are observed in the scan that writes, so the log is read once however many counters there are.
+    """
+    seen = Observation("records")
+    classified = lt.classify(records).observe(
+        seen,
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("reason").isNull()).alias("good"),
+        F.count_if(F.col("reason") == "malformed-json").alias("malformed"),
+        F.count_if(F.col("reason").isNotNull() & (F.col("reason") != "malformed-json")).alias("unusable"),
+    )
+    lt.good_trades(classified).write.mode("overwrite").parquet(store)
+    return dict(seen.get)
+
+
 def inject_late(trades: DataFrame, key: str, late_permille: int, late_max_s: int) -> DataFrame:
     """Move the event time of a share of the trades back by 1 to ``late_max_s`` seconds. Which
     ones is a function of the key, so every re-run and every engine picks the same."""

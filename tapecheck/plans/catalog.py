@@ -29,6 +29,7 @@ def load() -> None:
     from tapecheck.plans import (  # noqa: F401
         queries_aggregates,
         queries_compare,
+        queries_live,
         queries_monitor,
         queries_ordering,
         queries_parsing,

@@ -44,14 +44,15 @@ def start_candles(records: DataFrame, cfg: CandleSettings, paths: JobPaths, stri
     """Candle query. The fast path uses the engine's windows and fans out to one or two stores;
     the strict path also keeps late trades and re-emits within the allowed lateness."""
     trades = valid_trades(records)
+    second = sinks.by_batch(paths.at("candles_second")) if cfg.second_store else None
+
+    def lost(batch_id: int, e: Exception) -> None:
+        warnings.warn(f"second store lacks batch {batch_id} until refill_second: {e}", stacklevel=1)
+
     if strict or cfg.allowed_lateness_ms > 0:
-        return sc.to_batches(trades, StrictCandles(paths.at("strict"), cfg), paths.checkpoint("strict"), trigger)
+        return sc.to_batches(trades, StrictCandles(paths.at("strict"), cfg, second, lost), paths.checkpoint("strict"), trigger)
     out = sinks.candle_row(sc.window_candles(trades, cfg), cfg.run_id)
-    write = sinks.fan_out(
-        sinks.with_retries(sinks.append_only(paths.at("candles"))),
-        sinks.by_batch(paths.at("candles_second")) if cfg.second_store else None,
-        lambda batch_id, e: warnings.warn(f"second store lacks batch {batch_id} until refill_second: {e}", stacklevel=1),
-    )
+    write = sinks.fan_out(sinks.with_retries(sinks.append_only(paths.at("candles"))), second, lost)
     return sc.to_batches(out, write, paths.checkpoint("candles"), trigger)
 
 

@@ -58,7 +58,9 @@ def refill_second(spark: SparkSession, primary: str, secondary: str) -> int:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         there = have.limit(0)
-    missing = have.join(there.select("symbol", "window_start", "run_id"), ["symbol", "window_start", "run_id"], "left_anti").persist()
+    # the write time tells a window that was written again from its first write
+    key = ["symbol", "window_start", "run_id", "ingested_at"]
+    missing = have.join(there.select(*key), key, "left_anti").persist()
     try:
         n = missing.count()
         if n:
@@ -95,16 +97,22 @@ def fan_out(
 
 
 def with_retries(
-    write: Callable[[DataFrame, int], None], attempts: int = 3, wait_s: float = 0.5
+    write: Callable[[DataFrame, int], None],
+    attempts: int = 3,
+    wait_s: float = 0.5,
+    on_failure: Callable[[Exception], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Try a few times with growing pauses, then let the query fail so that it replays the batch
-    from its checkpoint."""
+    from its checkpoint. ``on_failure`` hears of every failed attempt."""
+
     def run(batch: DataFrame, batch_id: int) -> None:
         for n in range(1, attempts + 1):
             try:
                 write(batch, batch_id)
                 return
-            except Exception:
+            except Exception as e:
+                if on_failure:
+                    on_failure(e)
                 if n == attempts:
                     raise
                 time.sleep(wait_s * n)

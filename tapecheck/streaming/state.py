@@ -13,11 +13,16 @@ class BatchTable:
         self.path, self.schema = path, schema
 
     def at(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """Rows written by one batch; empty when there is no such batch."""
+        """Rows written by one batch; empty before the first batch. A batch that wrote nothing never happened, so reading
+        it is an error (see ``has``)."""
         if batch_id < 0:
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batch_id}")
 
+    def has(self, spark: SparkSession, batch_id: int) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch_id={batch_id}/_SUCCESS")
+        return batch_id >= 0 and path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 

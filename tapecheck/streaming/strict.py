@@ -14,13 +14,15 @@ A batch reads only the open windows and the watermark its predecessor wrote.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapecheck.functions.timecols import bucket_start, wall_clock
 from tapecheck.operators.candles import finish_partials, merge_partials, partial_candles
 from tapecheck.operators.letters import late_letters
 from tapecheck.settings import CandleSettings
-from tapecheck.streaming.sinks import candle_row
+from tapecheck.streaming.sinks import candle_row, fan_out, with_retries
 from tapecheck.streaming.state import BatchTable
 
 _OPEN = (
@@ -35,10 +37,18 @@ _LETTERS = "seen_at TIMESTAMP_NTZ, stage STRING, reason STRING, symbol STRING, p
 
 
 class StrictCandles:
-    """``foreachBatch`` body; ``base`` is a folder every executor can reach."""
+    """``foreachBatch`` body; ``base`` is a folder every executor can reach. ``second`` gets the same candles; that it
+    fails is told to ``on_second_error`` and stops nothing."""
 
-    def __init__(self, base: str, cfg: CandleSettings):
+    def __init__(
+        self,
+        base: str,
+        cfg: CandleSettings,
+        second: Callable[[DataFrame, int], None] | None = None,
+        on_second_error: Callable[[int, Exception], None] | None = None,
+    ):
         self.cfg = cfg
+        self._store = fan_out(with_retries(lambda rows, n: self.candles.write(rows, n)), second, on_second_error)
         self.progress = BatchTable(f"{base}/progress", "wm_ms BIGINT, trades BIGINT, late BIGINT")
         self.open = BatchTable(f"{base}/open_windows", _OPEN)
         self.candles = BatchTable(f"{base}/candles", _CANDLES)
@@ -72,14 +82,14 @@ class StrictCandles:
                 end = F.col("window_ms") + cfg.window_ms
                 closed = F.lit(False) if new_wm is None else (end <= F.lit(new_wm))
                 emit = merged.filter(closed & ((F.col("fired") == 0) | (F.col("touched") == 1)))
-                self.candles.write(candle_row(finish_partials(emit), cfg.run_id), batch_id)
+                self._store(candle_row(finish_partials(emit), cfg.run_id), batch_id)
                 alive = F.lit(True) if new_wm is None else (end + lateness > F.lit(new_wm))
                 self.open.write(merged.filter(alive).withColumn("fired", closed.cast("int")).drop("touched"), batch_id)
             finally:
                 merged.unpersist()
             # Written last: a batch whose progress is missing never happened.
             self.progress.write(
-                spark.range(1).select(
+                spark.range(0, 1, 1, 1).select(
                     F.lit(new_wm).cast("bigint").alias("wm_ms"), F.lit(seen.trades).cast("bigint").alias("trades"),
                     F.lit(seen.late).cast("bigint").alias("late"),
                 ),

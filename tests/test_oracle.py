@@ -7,8 +7,11 @@ from tapecheck.plans import catalog
 from tests.oracle import connect, differences
 
 # Streams run for several batches each; a few stand for all of them here.
-STREAMS = {n for n in catalog.QUERIES if n.startswith(("src1_", "src3", "str4", "str5", "str6", "str7", "str9", "str12", "str18", "snk1_", "snk3", "snk4", "snk5", "exp7", "exp8"))}
-RUN = {"str6_allowed_lateness", "str7_late_letters", "exp7_crash_between_write_and_commit", "exp8_restart_modes"}
+STREAMS = {n for n in catalog.QUERIES if n.startswith(("src1_", "src3", "str4", "str5", "str6", "str7", "str9", "str12", "str18", "snk1_", "snk3", "snk4", "snk5", "exp7", "exp8", "str13", "str18", "str19_stream", "agg3_stream", "src2", "snk2_", "snk8", "str11"))}
+RUN = {
+    "str6_allowed_lateness", "str7_late_letters", "exp7_crash_between_write_and_commit", "exp8_restart_modes", "str13_live_job", "src2_start_position",
+    "agg3_stream_rollup", "str19_stream_sessions", "str5_odd_numbers", "str9_odd_numbers", "snk8_table_made_at_start", "str11_open_windows",
+}
 
 LARGER = "/root/testdata/sf0.01"
 

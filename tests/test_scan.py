@@ -1,13 +1,14 @@
 """The sliced scan must equal a plain loop, whatever is hot."""
 
 import random
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tapecheck.operators.scan import (
-    last_before, max_before, measure_slices, number_within, ordered_scan, rows_before, sum_before, sum_upto,
+    last_before, max_before, measure_slices, number_within, ordered_scan, rows_before, slicing, sum_before, sum_upto,
 )
 
 SCHEMA = "k string, t bigint, id bigint, v bigint"
@@ -95,3 +96,44 @@ def test_slices_do_not_depend_on_partitioning(spark):
     a = {r.id: r.s for r in df.repartition(3).select("id", slices.of().alias("s")).collect()}
     b = {r.id: r.s for r in df.repartition(7, F.col("v")).select("id", slices.of().alias("s")).collect()}
     assert a == b
+
+
+@pytest.mark.parametrize("hot_instant", [True, False])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_slices_that_are_cut_again(spark, keyed, hot_instant):
+    rows = make(1200, 13, hot_instant, hot_key=True)
+    with slicing(rows_per_slice=40, coarse=4):
+        check(spark, rows, keyed, None)
+        df = spark.createDataFrame(rows, SCHEMA)
+        slices = measure_slices(df, ["t", "id"])
+        assert slices.count <= 12 and slices.fine is not None
+        sizes = [r["count"] for r in slices.cut(df.repartition(3), "s").groupBy("s").count().collect()]
+        assert sum(sizes) == 1200 and max(sizes) <= 120 and len(sizes) >= 20
+        got = {r.id: r.seq for r in number_within(df, ["k"], "t", ["id"], "seq").collect()}
+    seen, want = {}, {}
+    for k, t, i, _ in sorted(rows, key=lambda r: r[2]):
+        want[i] = seen.get((k, t), 0)
+        seen[(k, t)] = want[i] + 1
+    assert got == want
+
+
+def test_many_slices_are_planned_quickly(spark):
+    """What the plan holds does not grow with the number of slices."""
+    df = spark.range(500_000).select(F.col("id").alias("t"), (F.col("id") * 7 % 1000).alias("id"), F.lit("a").alias("k"))
+    began = time.perf_counter()
+    with slicing(rows_per_slice=10):
+        slices = measure_slices(df, ["t", "id"])
+    sizes = slices.cut(df, "s").groupBy("s").count()
+    plan = sizes._jdf.queryExecution().optimizedPlan().toString()
+    assert slices.count <= 512 and len(plan) < 60_000
+    assert sizes.count() > 40_000
+    assert time.perf_counter() - began < 30
+
+
+def test_slicing_belongs_to_its_thread(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    df = spark.createDataFrame(make(900, 1), SCHEMA)
+    with slicing(rows_per_slice=60), ThreadPoolExecutor(1) as other:
+        assert measure_slices(df, ["t", "id"]).count > 10
+        assert other.submit(lambda: measure_slices(df, ["t", "id"]).count).result() == 1
