@@ -22,16 +22,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapecheck.llm import batches
-from tapecheck.llm.links import link
+from tapecheck.llm import batches, sketches
 from tapecheck.llm.tables import Sieve, keyed, stored
 
 MIN_WORDS = 5
 THRESHOLD = 0.8
 #: Characters of a shingle. One changed character touches five shingles, so lines of 49 characters can still be alike.
 SHINGLE = 5
-#: Rows of a band and bands. Two lines of similarity 0.8 share a band with probability 0.991.
-ROWS, BANDS = 5, 12
+#: Rows of a band and bands. Two lines of similarity 0.8 share a band with probability 0.992; two lines of one language that have
+#: nothing else in common (0.12) with probability 0.00005.
+ROWS, BANDS = 6, 16
 #: Characters that are written without spaces between words: Thai to Lao, Burmese, Khmer, Chinese and Japanese.
 SPACELESS = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 
@@ -130,6 +130,9 @@ def _scanned(min_words: int):
                         band = batches.mix(band * U(0x9E3779B97F4A7C15) + sig[:, k])
                     bands[:, b] = band
                 ends = np.concatenate(([0], np.cumsum(first * BANDS))).astype(np.int32)
+                # the sketch of a line that stands here first, null elsewhere
+                which = np.where(first, np.cumsum(first) - 1, 0)
+                sketch = sketches.sketch(sig).take(pa.array(which, mask=~first))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(k1[row]),
@@ -137,8 +140,9 @@ def _scanned(min_words: int):
                         pa.array(position.astype(np.int32)),
                         pa.array(batches.signed(node)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(batches.signed(bands.ravel()))),
+                        sketch,
                     ],
-                    names=["k1", "k2", "position", "node", "bands"],
+                    names=["k1", "k2", "position", "node", "bands", "sketch"],
                 )
 
     return run
@@ -162,7 +166,7 @@ def _texts(min_words: int, sieve: Sieve):
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """(k1, k2, gone): the positions of the lines that go from a document; ``docs`` has k1, k2 and text."""
     scanned = docs.select("k1", "k2", "text").mapInArrow(
-        _scanned(min_words), "k1 bigint, k2 bigint, position int, node bigint, bands array<bigint>"
+        _scanned(min_words), "k1 bigint, k2 bigint, position int, node bigint, bands array<bigint>, sketch binary"
     )
     scanned = stored(scanned, "lines")
 
@@ -170,7 +174,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
         lines = docs.select("text").mapInArrow(_texts(min_words, Sieve(nodes, "node")), "node bigint, text string")
         return lines.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
-    names = link(scanned.select(F.explode("bands").alias("band"), "node"), texts_of, shingle_sets, threshold)
+    names = sketches.link(scanned.select("node", "bands", "sketch"), texts_of, shingle_sets, threshold)
 
     # One row for each different line, then one for each component: its first place and how many.
     seen = scanned.groupBy("node").agg(F.min(F.struct("k1", "k2", "position")).alias("place"), F.count("*").alias("places"))

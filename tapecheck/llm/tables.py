@@ -23,7 +23,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, f"llm-{purpose}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that nothing reads any more (what was made of them has been written)."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def keyed(docs: DataFrame) -> DataFrame:

@@ -46,9 +46,8 @@ def line_form(line):
     return re.sub(r"[ \t\x0b\x0c\r]+", " ", line.lower()).strip()
 
 
-def line_shingles(line, width=12):
-    raw = line.encode()
-    return {raw[k : k + width] for k in range(max(1, len(raw) - width + 1))}
+def line_shingles(line, width=5):
+    return {line[k : k + width] for k in range(max(1, len(line) - width + 1))}
 
 
 def windows(items, window=10):

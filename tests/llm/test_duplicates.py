@@ -107,6 +107,35 @@ def test_lines_equal_all_pairs(spark, monkeypatch, block):
         assert (got[d].text, got[d].n_removed) == (want, len(gone[d]))
 
 
+@pytest.mark.parametrize("small,block", [(32, links.BLOCK), (2, 4)], ids=["rows", "blocks"])
+def test_buckets_of_strangers_are_torn_apart(spark, monkeypatch, small, block):
+    """One band for all lines: every link must come from comparing members of different components."""
+    from tapecheck.llm import sketches
+
+    monkeypatch.setattr(sketches, "SMALL", small)
+    monkeypatch.setattr(links, "BLOCK", block)
+    rng, word = random.Random(3), lambda: "".join(rng.choices("abcdefgh", k=5))
+    pool = []
+    for _ in range(8):
+        base = [word() for _ in range(30)]
+        pool += [" ".join(base), " ".join([*base[:-1], word()]), " ".join([word(), *base[1:]])]
+    sets = [brute.line_shingles(x) for x in pool]
+    want = brute.classes(len(pool), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    nodes = list(range(1000, 1000 + len(pool)))
+    rng.shuffle(nodes)
+    lines_ = batches.texts_of(pa.array(pool))
+    _, _, data, off = next(batches.chunks(lines_))
+    sk = sketches.sketch(lines.signatures(data, off, batches.prefix_hashes(data), lines.ROWS * lines.BANDS)).to_pylist()
+    rows = [(n, [7, 8], s) for n, s in zip(nodes, sk, strict=True)] + [(nodes[0], [], None)]
+    scanned = spark.createDataFrame(rows, "node bigint, bands array<bigint>, sketch binary")
+    texts_of = lambda some: spark.createDataFrame(list(zip(nodes, pool, strict=True)), "node bigint, text string").join(some, "node", "left_semi")
+    got = {r.node: r.component for r in sketches.link(scanned, texts_of, lines.shingle_sets, 0.8).collect()}
+    groups = {}
+    for k, w in enumerate(want):
+        groups.setdefault(w, set()).add(nodes[k])
+    assert got == {n: min(g) for g in groups.values() if len(g) > 1 for n in g}
+
+
 def test_short_lines_equal_all_pairs(spark):
     rng, pool = random.Random(11), []
     for letters, space in (("abcdefghijklmnop", " "), ("абвгдежзиклмнопр", " "), ("天地玄黃宇宙洪荒日月盈昃辰宿列張", "")):
