@@ -47,39 +47,61 @@ def normalised(lines: pa.Array) -> pa.Array:
     return lines
 
 
-def _shingle_spans(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every shingle of ``width`` characters and its row; a shorter row is one shingle."""
-    lead = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-    at = np.searchsorted(lead, off)
+def _shingles(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of every run of ``width`` characters of each row; a shorter row is one run.
+
+    The characters' codes stand next to each other, so the hashes of all places are sums of shifted arrays; places whose run would
+    cross a row's end are dropped.
+    """
+    if not len(data):
+        return np.zeros(0, U), np.zeros(0, np.int64)
+    wide = int(data.max()) >= 0x80
+    code = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32) if wide else data
+    code = code.astype(np.uint64)
+    at = np.searchsorted(np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data)), off) if wide else np.asarray(off)
     length = np.diff(at)
-    count = np.where(length > 0, np.maximum(length - width + 1, 1), 0)
-    row = np.repeat(np.arange(len(length)), count)
-    start = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + at[row]
-    return lead[start], lead[np.minimum(start + width, at[row + 1])], row
+    row = np.repeat(np.arange(len(length)), length)
+    places = len(code) - width + 1
+    h = np.zeros(max(places, 0), dtype=np.uint64)
+    for k in range(width if places > 0 else 0):
+        h *= U(0x9E3779B97F4A7C15)
+        h += code[k : k + places]
+    inside = np.flatnonzero(row[:places] == row[width - 1 :]) if places > 0 else np.zeros(0, np.int64)
+    h, row = batches.mix(h[inside]), row[inside]
+    if (short := np.flatnonzero((length > 0) & (length < width))).size:
+        sums = batches.prefix_hashes(data)
+        h = np.concatenate((h, batches.span_hashes(sums, off[short], off[short + 1])))
+        row = np.concatenate((row, short))
+        order = np.argsort(row, kind="stable")
+        h, row = h[order], row[order]
+    return h, row
+
+
+def shingle_hashes(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of every shingle of each normalised line."""
+    texts, found = batches.texts_of(texts), []
+    for at, _, data, off in batches.chunks(texts):
+        h, row = _shingles(data, off, width)
+        found.append((h, row + at))
+    if not found:
+        return np.zeros(0, U), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, row, 1) of the distinct shingles of each normalised line."""
-    texts, found = batches.texts_of(texts), []
-    for at, _, data, off in batches.chunks(texts):
-        start, end, row = _shingle_spans(data, off, width)
-        h = batches.span_hashes(batches.prefix_hashes(data), start, end)
-        h, r, _ = batches.occurrences(h, row + at)
-        found.append((h, r))
-    if not found:
-        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h, r = (np.concatenate(x) for x in zip(*found, strict=True))
+    h, r, _ = batches.occurrences(*shingle_hashes(texts, width))
     return h, r, np.ones(len(h), dtype=np.int64)
 
 
-def signatures(data: np.ndarray, off: np.ndarray, sums: np.ndarray, bins: int, width: int = SHINGLE) -> np.ndarray:
+def signatures(data: np.ndarray, off: np.ndarray, bins: int, width: int = SHINGLE) -> np.ndarray:
     """A value for each (line, bin): the smallest hash among the line's shingles of that bin."""
     rows = len(off) - 1
-    start, end, row = _shingle_spans(data, off, width)
-    h = batches.span_hashes(sums, start, end)
+    h, row = _shingles(data, off, width)
     none = ~U(0)
     out = np.full(rows * bins, none, dtype=np.uint64)
-    np.minimum.at(out, row * bins + (h % U(bins)).astype(np.int64), h >> U(8))
+    # the upper bits choose the bin, the lower ones are the value
+    np.minimum.at(out, row * bins + (((h >> U(40)) * U(bins)) >> U(24)).astype(np.int64), h & U((1 << 40) - 1))
     out = out.reshape(rows, bins)
     filled = out != none
     todo_row, todo_bin = np.nonzero(~filled & filled.any(axis=1)[:, None])
@@ -94,7 +116,7 @@ def signatures(data: np.ndarray, off: np.ndarray, sums: np.ndarray, bins: int, w
 
 
 def _lines(texts: pa.Array, min_words: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """For parts of a batch: row, position, hash, bytes, offsets and prefix sums of the lines that take part."""
+    """For parts of a batch: row, position, hash, bytes and offsets of the lines that take part."""
     for at, end, _, _ in batches.chunks(texts):
         parts = pc.split_pattern(texts[at:end], "\n")
         flat = normalised(parts.flatten())
@@ -111,18 +133,18 @@ def _lines(texts: pa.Array, min_words: int) -> Iterator[tuple[np.ndarray, ...]]:
         for low, high, data, off in batches.chunks(flat.take(pa.array(keep))):
             sums = batches.prefix_hashes(data)
             took = keep[low:high]
-            yield row[took], position[took], batches.span_hashes(sums, off[:-1], off[1:]), data, off, sums
+            yield row[took], position[took], batches.span_hashes(sums, off[:-1], off[1:]), data, off
 
 
 def _scanned(min_words: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             k1, k2 = (batch[k].to_numpy() for k in ("k1", "k2"))
-            for row, position, node, data, off, sums in _lines(batches.texts_of(batch["text"]), min_words):
+            for row, position, node, data, off in _lines(batches.texts_of(batch["text"]), min_words):
                 # a line that stands twice in this part has its bands once
                 first = np.zeros(len(node), dtype=bool)
                 first[np.unique(node, return_index=True)[1]] = True
-                sig = signatures(data, off, sums, ROWS * BANDS)[first]
+                sig = signatures(data, off, ROWS * BANDS)[first]
                 bands = np.empty((len(sig), BANDS), dtype=np.uint64)
                 for b in range(BANDS):
                     band = np.full(len(sig), b + 1, dtype=np.uint64)
@@ -151,7 +173,7 @@ def _scanned(min_words: int):
 def _texts(min_words: int, sieve: Sieve):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for _, _, node, data, off, _ in _lines(batches.texts_of(batch["text"]), min_words):
+            for _, _, node, data, off in _lines(batches.texts_of(batch["text"]), min_words):
                 buffers = [None, pa.py_buffer(np.ascontiguousarray(off)), pa.py_buffer(np.ascontiguousarray(data))]
                 lines = pa.Array.from_buffers(pa.large_string(), len(node), buffers)
                 node, first = np.unique(node, return_index=True)
@@ -168,13 +190,13 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int
     scanned = docs.select("k1", "k2", "text").mapInArrow(
         _scanned(min_words), "k1 bigint, k2 bigint, position int, node bigint, bands array<bigint>, sketch binary"
     )
-    scanned = stored(scanned, "lines")
+    scanned = stored(scanned, "lines", compression="none")  # hashes do not compress
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         lines = docs.select("text").mapInArrow(_texts(min_words, Sieve(nodes, "node")), "node bigint, text string")
         return lines.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
-    names = sketches.link(scanned.select("node", "bands", "sketch"), texts_of, shingle_sets, threshold)
+    names = sketches.link(scanned.select("node", "bands", "sketch"), texts_of, shingle_hashes, shingle_sets, threshold)
 
     # One row for each different line, then one for each component: its first place and how many.
     seen = scanned.groupBy("node").agg(F.min(F.struct("k1", "k2", "position")).alias("place"), F.count("*").alias("places"))

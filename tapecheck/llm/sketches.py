@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapecheck.llm import links
+from tapecheck.llm import batches, links
 from tapecheck.llm.tables import Sieve, forget, stored
 
 WIDTH, AGREE = 60, 0.5
@@ -54,6 +54,51 @@ def _agreeing(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(like))
 
 
+Hashes = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+
+
+def similarities(left: pa.Array, right: pa.Array, hashes: Hashes) -> np.ndarray:
+    """Jaccard similarity of each pair of texts, by the sets of their parts.
+
+    Pair and hash share one 64-bit number, so that plain sorts do all the work; the hash keeps what the number of the pair
+    leaves, 50 bits and more in the parts that ``verified`` cuts.
+    """
+    n = len(left)
+    shift = np.uint64(max(1, n.bit_length()))
+    keys = []
+    for texts in (left, right):
+        h, row = hashes(texts)
+        key = np.sort((row.astype(np.uint64) << (np.uint64(64) - shift)) | (h >> shift))
+        keys.append(key[np.concatenate(([True], key[1:] != key[:-1]))] if len(key) else key)
+    both = np.sort(np.concatenate(keys))
+    same = both[1:][both[1:] == both[:-1]] if len(both) else both
+    size = [np.bincount((k >> (np.uint64(64) - shift)).astype(np.int64), minlength=n) for k in (*keys, same)]
+    union = size[0] + size[1] - size[2]
+    return np.divide(size[2], union, out=np.zeros(n), where=union > 0)
+
+
+def _verified(hashes: Hashes, threshold: float):
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            left, right = batches.texts_of(batch["left"]), batches.texts_of(batch["right"])
+            size = np.cumsum(pa.compute.add(pa.compute.binary_length(left), pa.compute.binary_length(right)).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < len(batch):
+                n = max(1, int(np.searchsorted(size, (size[at - 1] if at else 0) + batches.CHUNK, side="right")) - at)
+                like = similarities(left[at : at + n], right[at : at + n], hashes)
+                yield batch.slice(at, n).select(["a", "b"]).filter(pa.array(like >= threshold))
+                at += n
+
+    return run
+
+
+def verified(pairs: DataFrame, texts: DataFrame, hashes: Hashes, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose texts' similarity is ``threshold`` or more."""
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+    return both.select("a", "b", "left", "right").mapInArrow(_verified(hashes, threshold), PAIR)
+
+
 def _mates(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of small buckets, one a row: pairs of different components whose sketches agree."""
     for batch in rows:
@@ -114,7 +159,7 @@ def extended(names: DataFrame, more: DataFrame) -> DataFrame:
     return old.unionByName(fresh)
 
 
-def link(scanned: DataFrame, texts_of: Callable[[DataFrame], DataFrame], parts: links.Parts, threshold: float) -> DataFrame:
+def link(scanned: DataFrame, texts_of: Callable[[DataFrame], DataFrame], hashes: Hashes, parts: links.Parts, threshold: float) -> DataFrame:
     """(node, component) of every node that is linked to another one.
 
     ``scanned`` (node, bands, sketch) is a stored table in which a node may repeat, without its bands and sketch or with
@@ -136,11 +181,11 @@ def link(scanned: DataFrame, texts_of: Callable[[DataFrame], DataFrame], parts:
 
     star = crowd.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     star = stored(agreeing(star), "star")
-    ends = stored(star.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
-    texts = stored(texts_of(ends).select("node", "text"), "texts")
-    edges = stored(links.verified(star, texts, parts, threshold).select("a", "b"), "edges")
+    # one pass over the documents fetches the texts of all members of shared buckets
+    texts = stored(texts_of(nodes).select("node", "text"), "texts")
+    edges = stored(verified(star, texts, hashes, threshold), "edges")
     names = stored(links.components(edges), "names")
-    forget(star, ends, texts, edges)
+    forget(star, edges)
 
     torn = crowd.select("band", "node").join(names, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     state = torn.groupBy("band").agg(
@@ -161,12 +206,9 @@ def link(scanned: DataFrame, texts_of: Callable[[DataFrame], DataFrame], parts:
     wide = wide.select("band", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "component", "sketch")
     worth = wide.groupBy("band", "i", "j").applyInArrow(_worth, "band bigint, i int, j int, block int, node bigint, component bigint")
     near, worth = stored(near, "near"), stored(worth, "worth")
-    ends = near.select(F.explode(F.array("a", "b")).alias("node")).union(worth.select("node")).distinct()
-    ends = stored(ends, "ends")
-    texts = stored(texts_of(ends).select("node", "text"), "texts")
-    more = links.verified(near, texts, parts, threshold).select("a", "b")
+    more = verified(near, texts, hashes, threshold)
     blocks = worth.join(texts, "node").groupBy("band", "i", "j").applyInArrow(links._joined(parts, threshold), PAIR)
     more = stored(more.unionByName(blocks), "more-edges")
     out = names if more.isEmpty() else stored(extended(names, more), "names")
-    forget(shared, crowd, nodes, known, members, near, worth, ends, texts, more)
+    forget(shared, crowd, nodes, known, members, near, worth, texts, more)
     return out

@@ -16,13 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
     """``df`` written below the cluster's shared folder and read again.
 
     Later steps neither repeat the work before it nor depend on the executors that did it.
     """
     path = shared_dir(df.sparkSession, f"llm-{purpose}")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

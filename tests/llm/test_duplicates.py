@@ -107,6 +107,18 @@ def test_lines_equal_all_pairs(spark, monkeypatch, block):
         assert (got[d].text, got[d].n_removed) == (want, len(gone[d]))
 
 
+def test_similarities_equal_plain_sets():
+    from tapecheck.llm import sketches
+
+    rng = random.Random(6)
+    pool = ["".join(rng.choices("abé ", k=rng.choice([0, 1, 3, 4, 5, 6, 9, 200]))) for _ in range(400)]
+    left, right = pool[:200], [x if rng.random() < 0.3 else y for x, y in zip(pool, pool[200:], strict=False)]
+    got = sketches.similarities(pa.array(left, pa.large_string()), pa.array(right, pa.large_string()), lines.shingle_hashes)
+    sets = [[brute.line_shingles(x) if x else set() for x in side] for side in (left, right)]
+    want = [len(a & b) / len(a | b) if a | b else 0 for a, b in zip(*sets, strict=True)]
+    assert got.tolist() == pytest.approx(want)
+
+
 @pytest.mark.parametrize("small,block", [(32, links.BLOCK), (2, 4)], ids=["rows", "blocks"])
 def test_buckets_of_strangers_are_torn_apart(spark, monkeypatch, small, block):
     """One band for all lines: every link must come from comparing members of different components."""
@@ -125,11 +137,11 @@ def test_buckets_of_strangers_are_torn_apart(spark, monkeypatch, small, block):
     rng.shuffle(nodes)
     lines_ = batches.texts_of(pa.array(pool))
     _, _, data, off = next(batches.chunks(lines_))
-    sk = sketches.sketch(lines.signatures(data, off, batches.prefix_hashes(data), lines.ROWS * lines.BANDS)).to_pylist()
+    sk = sketches.sketch(lines.signatures(data, off, lines.ROWS * lines.BANDS)).to_pylist()
     rows = [(n, [7, 8], s) for n, s in zip(nodes, sk, strict=True)] + [(nodes[0], [], None)]
     scanned = spark.createDataFrame(rows, "node bigint, bands array<bigint>, sketch binary")
     texts_of = lambda some: spark.createDataFrame(list(zip(nodes, pool, strict=True)), "node bigint, text string").join(some, "node", "left_semi")
-    got = {r.node: r.component for r in sketches.link(scanned, texts_of, lines.shingle_sets, 0.8).collect()}
+    got = {r.node: r.component for r in sketches.link(scanned, texts_of, lines.shingle_hashes, lines.shingle_sets, 0.8).collect()}
     groups = {}
     for k, w in enumerate(want):
         groups.setdefault(w, set()).add(nodes[k])
@@ -170,7 +182,7 @@ def test_bands_find_short_lines():
         own = []
         for texts_ in (a, b):
             (_, _, data, off), = batches.chunks(batches.texts_of(pa.array(texts_)))
-            own.append(lines.signatures(data, off, batches.prefix_hashes(data), lines.ROWS * lines.BANDS).reshape(-1, lines.BANDS, lines.ROWS))
+            own.append(lines.signatures(data, off, lines.ROWS * lines.BANDS).reshape(-1, lines.BANDS, lines.ROWS))
         assert (own[0] == own[1]).all(axis=2).any(axis=1).mean() >= 0.99
 
 
