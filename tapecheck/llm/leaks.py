@@ -6,7 +6,7 @@ after each word knows the longest run that ends there and stands in some item. W
 item of fewer words is one window, found through the suffix links. Every word in an occurrence is hit.
 
 Words are runs of digits, letters and characters beyond ASCII, A-Z lower-cased. They are compared by
-64-bit hashes. A stretch of words none of which the items lack must be as long as the shortest
+64-bit hashes. An item without an id marks hits like any other, but is not among a document's items. A stretch of words none of which the items lack must be as long as the shortest
 window, so only such stretches are walked; the rest is skipped by array operations.
 
 Items are split into automata of at most ``WORDS`` words (an item is never split). Only one of them is
@@ -33,6 +33,8 @@ WINDOW = 10
 WORDS = 200_000
 #: A document more than this share of whose words is hit is dropped whole.
 COVERAGE = 0.5
+#: Stands for a null item_id: its windows are hit, but it is no item of a document.
+NO_ITEM = -(2**63)
 
 U = np.uint64
 
@@ -154,13 +156,13 @@ def automata(benchmark: DataFrame, window: int = WINDOW, limit: int = WORDS) ->
     Items come to the driver one Spark partition at a time and are forgotten with their automaton.
     """
     part, names, size, made = [], [], 0, False
-    for row in benchmark.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator():
+    for row in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
         words = text_words([row.text])[0]
         if part and size + len(words) > limit:
             yield Automaton(part, names, window)
             part, names, size, made = [], [], 0, True
         part.append(words)
-        names.append(row.item_id)
+        names.append(NO_ITEM if row.item_id is None else row.item_id)
         size += len(words)
     if part or not made:
         yield Automaton(part, names, window)
@@ -208,7 +210,7 @@ def _scan(sent, passed: list[str], again: bool):
                         *(batch[c].slice(at, n) for c in passed),
                         pa.array(np.bincount(row, minlength=n).astype(np.int64)),
                         pa.array(np.bincount(row[hit], minlength=n).astype(np.int64)),
-                        pa.array([sorted(x) for x in items], pa.list_(pa.int64())),
+                        pa.array([sorted(x - {NO_ITEM}) for x in items], pa.list_(pa.int64())),
                         pa.ListArray.from_arrays(pa.array(bounds), spans),
                     ],
                     names=[*passed, *FOUND],

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 from urllib.parse import urlsplit
@@ -53,8 +54,12 @@ _WORDS = frozenset(
     "social share sharing sharebar related recommended recommendations comments comment commentlist disqus respond reply replies login search searchform "
     "widget widgets pagination pager pagenav skip skiplink toolbar".split()
 )
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>", re.S)
+#: A tag ends at the first > outside quotes if it has at most 256 quoted and unquoted pieces, else at the first one.
+_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'){0,256}+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>", re.S
+)
 _MARK = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_OPEN_COMMENT = re.compile(r"<!--.*", re.S)
 _WORD = re.compile(r"[a-zA-Z]+")
 _RAW_END = {x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style")}
 
@@ -80,12 +85,17 @@ ARTICLE, NEVER, OPEN = 0, 1, 2
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
-    """(text, kind) of the page's blocks in order; references decoded, white space runs as one space."""
+    """(text, kind) of the page's blocks in order; references decoded, white space runs as one space.
+
+    Broken markup takes linear time too: what follows the last ``>`` is text, and an end tag without an open
+    element is known by a count. An unclosed comment, script or style reaches to the page's end.
+    """
     out: list[tuple[str, int]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool]] = []  # open elements and whether they are marked
+    count: Counter[str] = Counter()  # open elements by name
     marked = article = 0
-    at = 0
+    at, last = 0, page.rfind(">")
 
     def end() -> None:
         if parts:
@@ -95,12 +105,13 @@ def blocks(page: str) -> list[tuple[str, int]]:
                 out.append((text, NEVER if marked else ARTICLE if article else OPEN))
 
     while at < len(page):
-        tag = _TAG.search(page, at)
+        # beyond the last > only an unclosed comment is no text
+        tag = _TAG.search(page, at) if at <= last else _OPEN_COMMENT.search(page, at)
         parts.append(page[at : tag.start()] if tag else page[at:])
         if tag is None:
             break
         at = tag.end()
-        name = (tag[2] or tag[5] or "").lower()
+        name = (tag[2] or tag[5] or "").lower() if tag.re is _TAG else ""
         if not name:
             continue
         if name in _BLOCK:
@@ -108,8 +119,9 @@ def blocks(page: str) -> list[tuple[str, int]]:
         elif name in ("br", "td", "th"):
             parts.append(" ")
         if tag[1] or tag[4]:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), -1)
-            if depth >= 0:
+            if count[name]:
+                depth = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name)
+                count.subtract(x for x, _ in stack[depth:])
                 if any(x in _BLOCK or m for x, m in stack[depth:]):
                     end()
                 marked -= sum(m for _, m in stack[depth:])
@@ -133,7 +145,9 @@ def blocks(page: str) -> list[tuple[str, int]]:
         # an element that ends where the next of its kind begins
         if name in ("p", "li", "tr", "dt", "dd") and stack and stack[-1][0] == name:
             marked -= stack.pop()[1]
+            count[name] -= 1
         stack.append((name, never))
+        count[name] += 1
     end()
     return out
 

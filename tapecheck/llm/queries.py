@@ -131,7 +131,7 @@ def _words(text: str) -> str:
 
 ORACLE["op7_decontamination"] = f"""
     WITH docs AS (SELECT doc_id, {_words("text")} AS w FROM documents),
-    items AS (SELECT item_id, {_words("text")} AS w FROM benchmark WHERE item_id IS NOT NULL),
+    items AS (SELECT item_id, {_words("text")} AS w FROM benchmark),
     windows AS (
         SELECT DISTINCT item_id, len(x) AS l, x FROM (
             SELECT item_id, list_slice(w, i, i + least(10, len(w)) - 1) AS x
@@ -144,7 +144,7 @@ ORACLE["op7_decontamination"] = f"""
     hits AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM found) GROUP BY 1),
     ids AS (
         SELECT doc_id, count(*) AS n, string_agg(v, ',' ORDER BY v) AS v
-        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS v FROM found) GROUP BY 1)
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS v FROM found WHERE item_id IS NOT NULL) GROUP BY 1)
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(ids.n, 0) AS n_items,
            sha256(coalesce(ids.v, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
     FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)
