@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 DAY_MS = 86_400_000
 KST_HOURS = 9
@@ -43,6 +43,22 @@ def bucket_start(ms: Column | str, width_ms: int) -> Column:
     return m - F.pmod(m, F.lit(width_ms).cast("bigint"))
 
 
+#: Windows that one row lists at a time.
+STRETCH = 1_000
+
+
+def each_window(df: DataFrame, first: Column | str, last: Column | str, width_ms: int, name: str) -> DataFrame:
+    """One row per window start from ``first`` to ``last`` (both included; none if ``last`` lies before ``first``).
+
+    A silence of years is listed in stretches of ``STRETCH`` windows, so no row holds an array of all of them.
+    """
+    one, many = F.lit(width_ms).cast("bigint"), F.lit(width_ms * STRETCH).cast("bigint")
+    spans = df.withColumns({"_first": _col(first), "_last": _col(last)}).filter("_last >= _first")
+    spans = spans.withColumn("_from", F.explode(F.sequence("_first", "_last", many)))
+    until = F.least(F.col("_last"), F.col("_from") + width_ms * (STRETCH - 1))
+    return spans.withColumn(name, F.explode(F.sequence("_from", until, one))).drop("_first", "_last", "_from")
+
+
 def text(ts: Column | str) -> Column:
     """yyyy-MM-dd HH:mm:ss.SSS of a wall-clock timestamp.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapecheck.functions.numbers import volume_sum
-from tapecheck.functions.timecols import arrival_key, bucket_start, epoch_ms, wall_clock, wide_arrival_key
+from tapecheck.functions.timecols import arrival_key, bucket_start, each_window, epoch_ms, wall_clock, wide_arrival_key
 from tapecheck.operators.scan import last_before, max_before, ordered_scan, sum_upto
 
 
@@ -126,15 +126,11 @@ def fill_quiet_windows(candle_rows: DataFrame, window_ms: int) -> DataFrame:
         c, keys=["symbol"], order=["window_ms"],
         measures=[last_before("prev_ms", "window_ms"), last_before("prev_close", "close")],
     )
+    silent = linked.filter(F.col("window_ms") - F.col("prev_ms") > window_ms).select(
+        "symbol", "prev_close", (F.col("prev_ms") + window_ms).alias("first_ms"), (F.col("window_ms") - window_ms).alias("last_ms")
+    )
     quiet = (
-        linked.filter(F.col("window_ms") - F.col("prev_ms") > window_ms)
-        .select(
-            "symbol",
-            F.explode(
-                F.sequence(F.col("prev_ms") + window_ms, F.col("window_ms") - window_ms, F.lit(window_ms).cast("bigint"))
-            ).alias("window_ms"),
-            "prev_close",
-        )
+        each_window(silent, "first_ms", "last_ms", window_ms, "window_ms")
         .select(
             "symbol", wall_clock("window_ms").alias("window_start"),
             F.col("prev_close").alias("open"), F.col("prev_close").alias("high"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tapecheck.functions.timecols import bucket_start, wall_clock
+from tapecheck.functions.timecols import bucket_start, each_window, wall_clock
 from tapecheck.operators.compare import KEY, matched
 from tapecheck.operators.continuity import connection_gaps, connection_spans, is_real_origin
 
@@ -24,15 +24,10 @@ def adjacent_symmetry(diffs: DataFrame, window_ms: int) -> DataFrame:
 
 def gap_windows(gaps: DataFrame, window_ms: int) -> DataFrame:
     """The windows each connection gap falls in, with the gap seconds inside that window."""
-    w = F.explode(
-        F.sequence(
-            bucket_start("gap_from_ms", window_ms), bucket_start("gap_to_ms", window_ms), F.lit(window_ms).cast("bigint")
-        )
-    )
+    rows = each_window(gaps, bucket_start("gap_from_ms", window_ms), bucket_start("gap_to_ms", window_ms), window_ms, "window_ms")
     inside = F.least("gap_to_ms", F.col("window_ms") + window_ms) - F.greatest("gap_from_ms", "window_ms")
     return (
-        gaps.withColumn("window_ms", w)
-        .withColumn("inside_ms", inside)
+        rows.withColumn("inside_ms", inside)
         .filter(F.col("inside_ms") > 0)
         .groupBy("window_ms")
         .agg(F.sum("inside_ms").alias("gap_ms"), F.count(F.lit(1)).alias("gaps"))

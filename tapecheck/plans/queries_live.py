@@ -19,6 +19,7 @@ from tapecheck.sources.positions import open_position
 from tapecheck.streaming import candles as sc, job, sinks
 from tapecheck.streaming.live import LiveJob
 from tapecheck.streaming.metrics import CounterLog, counted
+from tapecheck.streaming.sequence import numbered
 
 _CFG = CandleSettings(window_ms=HOUR_MS, watermark_delay_ms=5_000, run_id="r1")
 
@@ -331,6 +332,61 @@ def _(spark, d):
     return kept.select(*[F.lit(counts[c]).cast("bigint").alias(c) for c in ("records", "good", "malformed", "unusable")], "volume")
 
 
+# --- numbering in the engine's state, and a large fold in many batches ---
+
+_CELL_MS, _FEW = 21_600_000, 12
+
+
+def _landed_in_order(spark, rows: DataFrame, at: str, batches: int, fmt: str = "json") -> str:
+    landing = shared_dir(spark, "landing")
+    ends = rows.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    block = F.expr(f"({at} - {ends.lo}) * {batches} div {ends.hi - ends.lo + 1}").alias("block")
+    tr.land_in_order(rows.select("*", block), "block", landing, fmt)
+    return landing
+
+
+@query(
+    "str12_state_store_numbers",
+    s.with_(
+        [
+            s.TRADES, s.DISORDERED,
+            _many(_FEW).split(",\nwm AS")[0],
+            "wm AS (SELECT b, max(max(ingest_ms)) OVER (ORDER BY b) AS wm FROM many GROUP BY b)",
+            f"""told AS (SELECT m.event_id, m.symbol, m.ingest_ms, m.event_ms - m.event_ms % {HOUR_MS} AS event_ms,
+                       p.wm IS NOT NULL AND (m.event_ms // {_CELL_MS} + 1) * {_CELL_MS} + {HOUR_MS} <= p.wm AS late
+                FROM many m LEFT JOIN wm p ON p.b = m.b - 1)""",
+        ],
+        """SELECT event_id AS tie, symbol, event_ms, late,
+                  CASE WHEN NOT late THEN CAST(row_number() OVER (PARTITION BY symbol, event_ms, late ORDER BY ingest_ms, event_id) - 1 AS INTEGER) END AS seq_in_ms
+           FROM told""",
+    ),
+)
+def _(spark, d):
+    # Event times cut to the hour: crowded instants that come back in many batches, some after their cell has closed.
+    trades = dv.disordered(dv.events_trades(spark, d))
+    rows = trades.select("event_id", "symbol", F.expr(f"event_ms - event_ms % {HOUR_MS}").alias("event_ms"), "ingest_ms")
+    landing, out, ck = _landed_in_order(spark, rows, "ingest_ms", _FEW), shared_dir(spark, "numbered"), shared_dir(spark, "ck")
+    stream = sc.stream_session(spark).readStream.schema("event_id BIGINT, symbol STRING, event_ms BIGINT, ingest_ms BIGINT").option("maxFilesPerTrigger", 1)
+    sc.to_batches(numbered(stream.json(f"{landing}/*"), "event_id", _CELL_MS, HOUR_MS), sinks.by_batch(out), ck).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query(
+    "str4_stream_many_batches",
+    s.with_(
+        [s.LINE_TRADES.replace("l_suppkey AS symbol", "l_linenumber AS symbol"), f"c AS ({s.ohlcv('line_trades', DAY_MS)})"],
+        f"SELECT {_COLS} FROM c WHERE epoch_ms(window_start) + {DAY_MS} + 5000 <= (SELECT max(event_ms) FROM line_trades)",
+    ),
+)
+def _(spark, d):
+    # The large input in twelve batches: open windows pass from one batch to the next through the state store.
+    rows = dv.trades_from_lineitem(spark.read.parquet(f"{d}/lineitem.parquet"), "l_linenumber")
+    landing, out, ck = _landed_in_order(spark, rows, "event_ms", _FEW, "parquet"), shared_dir(spark, "candles"), shared_dir(spark, "ck")
+    stream = sc.stream_session(spark).readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{landing}/*")
+    sc.to_batches(sc.window_candles(stream, CandleSettings(window_ms=DAY_MS, watermark_delay_ms=5_000)), sinks.by_batch(out), ck).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
 # --- stores ---
 
 #: Days of the month that each of three deliveries covers, what it adds to the volume, and its fetch time in hours.

@@ -52,16 +52,16 @@ def landed_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDED).json(path)
 
 
-def land_in_order(records: DataFrame, block: str, path: str) -> int:
+def land_in_order(records: DataFrame, block: str, path: str, fmt: str = "json") -> int:
     """Land records as one file per arrival block, in one write; returns the number of files.
 
     A file stream reads files by their time, so the times are set in the order of the blocks.
     """
     spark = records.sparkSession
-    records.repartition(block).write.partitionBy(block).json(path)
+    records.repartition(block).write.partitionBy(block).format(fmt).save(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = sorted((f.getPath() for f in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{block}=*/*.json"))), key=lambda p: int(p.getParent().getName().split("=")[1]))
+    found = sorted((f.getPath() for f in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{block}=*/*.{fmt}"))), key=lambda p: int(p.getParent().getName().split("=")[1]))
     first = fs.getFileStatus(folder).getModificationTime() - 1000 * len(found)
     for n, p in enumerate(found):
         fs.setTimes(p, first + 1000 * n, -1)

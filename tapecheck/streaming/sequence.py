@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tapecheck.operators.ordering import out_of_order, sequence_in_ms
 from tapecheck.streaming.state import BatchTable
@@ -56,3 +60,57 @@ class SequenceStage:
             self.counters.forget(spark, batch_id)
         finally:
             batch.unpersist()
+
+
+class Numbering(StatefulProcessor):
+    """Counters of one (symbol, time cell), kept in the engine's state store.
+
+    A cell closes once the arrival watermark has passed its end by the horizon: a timer then drops its counters, and
+    records that still come for it are late. They are returned without a number, since theirs may have been given away.
+    """
+
+    def __init__(self, cell_ms: int, horizon_ms: int):
+        self.cell_ms, self.horizon_ms = cell_ms, horizon_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getMapState("counts", "event_ms bigint", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        symbol, cell = key
+        closes = (cell + 1) * self.cell_ms + self.horizon_ms
+        batch = pd.concat(list(rows)).sort_values(["ingest_ms", "tie"])
+        late = closes <= timerValues.getCurrentWatermarkInMs()
+        number = pd.Series(pd.NA, index=batch.index, dtype="Int32")
+        if not late:
+            self.handle.registerTimer(closes)
+            number = batch.groupby("event_ms").cumcount()
+            for at, n in batch.groupby("event_ms").size().items():
+                had = self.counts.getValue((int(at),))[0] if self.counts.containsKey((int(at),)) else 0
+                number = number.where(batch["event_ms"] != at, number + had)
+                self.counts.updateValue((int(at),), (int(had + n),))
+        yield pd.DataFrame({"tie": batch["tie"], "symbol": symbol, "event_ms": batch["event_ms"], "seq_in_ms": number.astype("Int32"), "late": late})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.counts.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def numbered(trades: DataFrame, tie: str, cell_ms: int, horizon_ms: int = HORIZON_MS, arrival_delay_ms: int = 0) -> DataFrame:
+    """(tie, symbol, event_ms, seq_in_ms, late) of a stream: each trade's number in its millisecond.
+
+    The key is (symbol, time cell), so a busy symbol is spread over its cells and nothing is joined. The watermark follows the
+    *arrival* time, which (unlike event time) never runs backwards by more than ``arrival_delay_ms``: no record is dropped
+    by the engine, and late ones are part of the result.
+    """
+    rows = trades.select(
+        "symbol", "event_ms", "ingest_ms", F.col(tie).alias("tie"), F.expr(f"event_ms div {cell_ms}").alias("cell"),
+        F.timestamp_millis("ingest_ms").alias("arrived"),
+    )
+    rows = rows.withWatermark("arrived", f"{arrival_delay_ms} milliseconds")
+    return rows.groupBy("symbol", "cell").transformWithStateInPandas(
+        Numbering(cell_ms, horizon_ms), "tie bigint, symbol string, event_ms bigint, seq_in_ms int, late boolean", "Append", "EventTime"
+    )

@@ -38,7 +38,8 @@ _LETTERS = "seen_at TIMESTAMP_NTZ, stage STRING, reason STRING, symbol STRING, p
 
 class StrictCandles:
     """``foreachBatch`` body; ``base`` is a folder every executor can reach. ``second`` gets the same candles; that it
-    fails is told to ``on_second_error`` and stops nothing."""
+    fails is told to ``on_second_error`` and stops nothing. Every ``pack_every`` batches the folders of old batches are packed
+    into one (read them through ``written_candles`` and ``written_letters``)."""
 
     def __init__(
         self,
@@ -46,8 +47,9 @@ class StrictCandles:
         cfg: CandleSettings,
         second: Callable[[DataFrame, int], None] | None = None,
         on_second_error: Callable[[int, Exception], None] | None = None,
+        pack_every: int = 100,
     ):
-        self.cfg = cfg
+        self.cfg, self.pack_every = cfg, pack_every
         self._store = fan_out(with_retries(lambda rows, n: self.candles.write(rows, n)), second, on_second_error)
         self.progress = BatchTable(f"{base}/progress", "wm_ms BIGINT, trades BIGINT, late BIGINT")
         self.open = BatchTable(f"{base}/open_windows", _OPEN)
@@ -96,6 +98,10 @@ class StrictCandles:
                 batch_id,
             )
             self.open.forget(spark, batch_id)
+            if batch_id and batch_id % self.pack_every == 0:
+                # the next batch, or this one again, reads the last folders only
+                for table in (self.progress, self.candles, self.letters):
+                    table.pack(spark, batch_id - 2)
         finally:
             judged.unpersist()
 

@@ -16,6 +16,7 @@ from tapecheck.sources.positions import open_position
 from tapecheck.streaming import candles as sc, job, sinks
 from tapecheck.streaming.live import LiveJob
 from tapecheck.streaming.metrics import CounterLog, ProgressLog, counted
+from tapecheck.streaming.sequence import numbered
 from tapecheck.streaming.strict import StrictCandles
 
 T = 1_700_000_000_000 - 1_700_000_000_000 % 3_600_000
@@ -238,6 +239,41 @@ def test_strict_path_serves_both_stores(spark):
     assert sinks.refill_second(spark, f"{base}/first/candles", f"{base}/second") == 0
 
 
+def test_old_batches_are_packed(spark):
+    s = StrictCandles(shared_dir(spark, "s"), CandleSettings(run_id="r", watermark_delay_ms=0), pack_every=3)
+    for n in range(8):
+        s(trades(spark, (T + n * 60_000, 10 + n), (T + 1, 1)), n)
+    got = sorted((r.batch_id, int(r.open), r.trade_count) for r in s.written_candles(spark).collect())
+    assert got == [(1, 10, 3)] + [(n, 9 + n, 1) for n in range(2, 8)]
+    assert sorted(r.batch_id for r in s.written_letters(spark).collect()) == list(range(2, 8))
+    assert s.candles._packs(spark) == [1, 4] and not s.candles.has(spark, 4) and s.candles.has(spark, 5)
+    # a pack that was written although its folders are still there counts once, and so does one that is made again
+    s.candles.write(s.candles.all(spark).where("batch_id = 4").drop("batch_id"), 4)
+    assert s.written_candles(spark).count() == 7 and s.candles.pack(spark, 4) == 0
+    s(trades(spark, (T + 900_000, 5)), 8)
+    assert s.written_candles(spark).count() == 8
+
+
+def test_numbers_from_the_state_store(spark):
+    """Three batches: numbers go on across batches, a closed cell gives none, a key's cells are independent."""
+    landing, base = shared_dir(spark, "l"), shared_dir(spark, "b")
+    rows = [
+        ("A", 1000, 5_000, 1, 0), ("A", 1000, 4_000, 2, 0), ("B", 1000, 4_500, 3, 0), ("A", 12_000, 13_000, 4, 0),
+        ("A", 1000, 14_000, 5, 1), ("A", 1001, 14_500, 6, 1), ("A", 12_000, 40_000, 7, 1),
+        ("A", 1000, 41_000, 8, 2), ("B", 39_000, 42_000, 9, 2), ("A", 12_000, 43_000, 10, 2),
+    ]
+    df = spark.createDataFrame(rows, "symbol string, event_ms bigint, ingest_ms bigint, id bigint, block int")
+    assert tr.land_in_order(df, "block", landing) == 3
+    session = sc.stream_session(spark)
+    stream = session.readStream.schema("symbol string, event_ms bigint, ingest_ms bigint, id bigint").option("maxFilesPerTrigger", 1).json(f"{landing}/*")
+    sc.to_batches(numbered(stream, "id", cell_ms=10_000, horizon_ms=15_000), sinks.by_batch(f"{base}/out"), f"{base}/ck").awaitTermination()
+    got = {r.tie: (r.seq_in_ms, r.late) for r in spark.read.parquet(f"{base}/out").collect()}
+    # the third batch begins at 40 s: the cells up to 10 s and 20 s closed at 25 s and 35 s
+    assert got == {
+        2: (0, False), 1: (1, False), 3: (0, False), 4: (0, False), 5: (2, False), 6: (0, False), 7: (1, False), 8: (None, True), 9: (0, False), 10: (None, True),
+    }
+
+
 # --- stores ---
 
 
@@ -342,6 +378,16 @@ def test_rollup_needs_a_multiple(spark):
         sc.rolled_up(trades(spark, (T, 1)), CandleSettings(window_ms=7_000), 60_000)
 
 
+@pytest.mark.parametrize("stretch", [3, 1000])
+def test_each_window_of_a_long_silence(spark, monkeypatch, stretch):
+    from tapecheck.functions import timecols
+
+    monkeypatch.setattr(timecols, "STRETCH", stretch)
+    spans = [(1, 0, 70), (2, 50, 50), (3, 60, 50), (4, 0, 60), (5, -20, 0)]
+    got = timecols.each_window(spark.createDataFrame(spans, "k int, a bigint, b bigint"), "a", "b", 10, "w").collect()
+    assert sorted((r.k, r.w) for r in got) == [(k, w) for k, a, b in spans for w in range(a, b + 1, 10)]
+
+
 # --- plans ---
 
 

@@ -12,7 +12,7 @@ from tapecheck.settings import CandleSettings
 from tapecheck.sources import frames as fr, official as of, trades as tr
 
 
-def frame(topic="trade:kr:005930", price="71800", ts="2026-06-18T09:30:00.123+09:00", volume="12", **more):
+def frame(topic="trade:kr:K7", price="12345.5", ts="2031-02-03T18:05:06.007+09:00", volume="3.25", **more):
     return json.dumps({"type": "message", "topic": topic, "data": {"price": price, "volume": volume, "timestamp": ts, "currency": "KRW"}, **more})
 
 
@@ -23,12 +23,12 @@ def parse(spark, *values):
 
 def test_good_frame_goes_to_utc(spark):
     r = parse(spark, frame())[0]
-    assert (r.symbol, r.price, r.volume, r.currency) == ("005930", "71800", "12", "KRW")
-    assert r.event_ms == 1781742600123  # 2026-06-18T00:30:00.123Z
+    assert (r.symbol, r.price, r.volume, r.currency) == ("K7", "12345.5", "3.25", "KRW")
+    assert r.event_ms == 1927875906007  # 2031-02-03T09:05:06.007Z
 
 
 @pytest.mark.parametrize("bad", [
-    frame(ts="2026-06-18T09:30:00.123"), frame(ts="not-a-time"), frame(ts=""), frame(topic="orderbook:kr:005930"),
+    frame(ts="2031-02-03 18:05"), frame(ts="in the evening"), frame(ts=""), frame(topic="quote:kr:K7"),
     frame(topic="trade:kr"), frame(topic="trade:kr:"), frame(topic="a:trade:kr:x"), frame(price=""), frame(volume="  "),
     "PONG", " PONG ", "", "   ", None, "{not json", "[1,2]", "null", "5", '{"type":"message","topic":"trade:kr:x","data":"text"}',
     '{"type":"message","topic":"trade:kr:x"}', '{"type":"error","code":1}',
@@ -38,14 +38,14 @@ def test_not_a_trade(spark, bad):
 
 
 def test_other_market_and_text_numbers(spark):
-    r = parse(spark, frame(topic="trade:us:AAPL", price="243.26"), frame(price="0.1"), frame(price="0.3"), frame(ts="2026-06-18T00:30:00.123Z"))
-    assert r[0].symbol == "AAPL" and r[0].price == "243.26"
-    assert (r[1].price, r[2].price) == ("0.1", "0.3")
-    assert r[3].event_ms == 1781742600123
+    r = parse(spark, frame(topic="trade:xx:ZQ", price="9.875"), frame(price="0.7"), frame(price="1.1"), frame(ts="2031-02-03T09:05:06.007Z"))
+    assert r[0].symbol == "ZQ" and r[0].price == "9.875"
+    assert (r[1].price, r[2].price) == ("0.7", "1.1")
+    assert r[3].event_ms == 1927875906007
 
 
 def wire(**over):
-    base = {"symbol": "005930", "event_ms": 1000, "seq_in_ms": 0, "ingest_ms": 1005, "price": "85000", "volume": "10", "currency": "KRW", "conn_id": "c1", "recv_seq": 7}
+    base = {"symbol": "K7", "event_ms": 4321, "seq_in_ms": 0, "ingest_ms": 4400, "price": "512.25", "volume": "6", "currency": "KRW", "conn_id": "c1", "recv_seq": 7}
     base.update(over)
     return json.dumps({k: v for k, v in base.items() if v is not ...})
 
@@ -68,7 +68,7 @@ def test_trade_record_round_trip(spark):
     df = spark.createDataFrame([(wire(), 2, 41)], "value string, partition int, offset bigint")
     t = lt.good_trades(lt.classify(df))
     r = t.first()
-    assert (r.symbol, r.price, r.volume, r.kafka_partition, r.kafka_offset) == ("005930", D(85000), D(10), 2, 41)
+    assert (r.symbol, r.price, r.volume, r.kafka_partition, r.kafka_offset) == ("K7", D("512.25"), D(6), 2, 41)
     back = json.loads(tr.keyed_records(t).first().value)
     assert "kafka_partition" not in back and "kafka_offset" not in back and back["recv_seq"] == 7
     plain = lt.good_trades(lt.classify(df.select("value"))).first()
@@ -84,7 +84,7 @@ def test_dead_letters_and_summary(spark):
     df = spark.createDataFrame([(1, "{bad"), (2, wire(price="")), (3, wire(price="", symbol="B")), (4, wire())], "i bigint, value string")
     letters = lt.dead_letters(lt.classify(df), "run-x", wall_clock(F.col("i") * 1000))
     rows = {(r.reason, r.symbol) for r in letters.collect()}
-    assert rows == {("malformed-json", ""), ("missing-field", "005930"), ("missing-field", "B")}
+    assert rows == {("malformed-json", ""), ("missing-field", "K7"), ("missing-field", "B")}
     s = {r.reason: r for r in lt.dead_letter_summary(letters).collect()}
     assert (s["missing-field"].dropped, s["missing-field"].symbols) == (2, 2)
     assert s["missing-field"].first_seen == "1970-01-01 00:00:02.000" and s["malformed-json"].sample == "{bad"
