@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns of
 ``documents``. The rows that a stage drops are gone for the stages after it.
+
+All stages: rows with nulls in any column pass like others (a null text is an empty one, a null doc_id is a document of its own text);
+repeated rows are one document that appears several times, until near_dedup keeps one of them; very long texts are read
+whole; an empty table gives an empty table; columns beyond those of ``documents`` are dropped by the first stage.
 """
 
 from __future__ import annotations
@@ -23,27 +27,28 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the positive-unlabelled scorer rejects go."""
+    """Documents that the positive-unlabelled scorer rejects go. Empty texts are scored too; equal texts get equal scores."""
     return quality.accepted(docs, table(spark, sf_dir, "labels")).select(*DOCUMENT)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of lines that are alike one stays; documents of which nothing is left go."""
+    """Of lines that are alike the one of the smallest (doc_id, position) stays; documents of which nothing is left go, but
+    those that came empty stay."""
     return _counted(lines.line_dedup(docs, drop_emptied=True))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays."""
+    """One document of each class of near duplicates stays: that of the smallest doc_id, null first. Texts without words are like no other."""
     return copies.near_dedup(docs).select(*DOCUMENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of benchmark items are cut out; documents that consist of them mostly go."""
+    """Passages of benchmark items are cut out, also of items without an id; documents more than half of whose words are hit go."""
     return _counted(leaks.decontaminated(docs, table(spark, sf_dir, "benchmark")))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample by calibrated probabilities, with each document's topic and probability."""
+    """A sample by calibrated probabilities, with each document's topic and probability. A null source or language is a category of its own."""
     return mixing.mixed(docs).where("kept").select(*DOCUMENT, "n_tokens", "topic", "probability")
 
 
