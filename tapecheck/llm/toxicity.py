@@ -1,17 +1,21 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 The index holds a bounded sample of labelled documents (``TOXIC`` and ``OTHER``, those of the smallest
-hashes) over the ``TERMS`` words that tell the two labels apart best (chi-squared among the
-examples), and one term for all other words together, so that a long text with one such word
-is not like a short one. Term weight: (1 + ln tf) x ln((N + 1) / (df + 1)), with df and N counted over all
-documents. Vectors have length one.
-
-Examples stand in blocks of ``BLOCK``; a block keeps its postings term by term and, for each term, its
-largest weight. For a query the sum of query weight x block maximum bounds every similarity of the block,
+hashes) over all their words. A term weighs (1 + ln tf) x ln((N + 1) / (df + 1)) x relevance, with df and N counted
+over all documents; its relevance is the size of the correlation (phi) between the examples that hold it
+and those that are toxic. Without it the cosine finds texts of the same topic, not of the same tone.
+Vectors have length one. A word that no example holds is as far from all of them, so it has no weight.
+
+Examples stand in blocks of ``BLOCK``. A term of at most ``SHORT`` examples is one list of postings, which is scored in full; the
+longer lists are cut by block, and a block keeps the largest weight of each. For a query, the sum of
+query weight x block maximum, and the best of what the short lists gave, bounds every similarity of the block,
 so blocks whose bound does not reach the k-th best similarity so far are skipped; the result is
 the same as that of comparing with all examples. The ``NEAREST`` neighbours vote with weight
 1 / (distance + ``SOFT``), and a logistic curve fitted on labelled documents outside the index turns the
 vote into a probability. The nearest examples are returned as evidence.
+
+The index is broadcast; it is as large as the distinct words of its at most ``TOXIC`` + ``OTHER`` examples, whatever the
+number of documents.
 """
 
 from __future__ import annotations
@@ -24,16 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapecheck.llm import batches
-from tapecheck.llm.tables import stored
 
 TOXIC, OTHER, CALIBRATION = 2_000, 4_000, 4_000
-TERMS = 1_000
-#: Examples that must hold a term.
-LEAST = 3
-#: Weight of the term for all other words, times ln(1 + their number).
-REST = 0.3
 NEAREST, SOFT, EVIDENCE = 15, 0.05, 3
 BLOCK = 128
+#: Lists of more postings are cut by block. Where the cut lies changes no result.
+SHORT = 96
 FOLDS, HELD_OUT, CALIBRATING = 5, 0, 1
 #: Documents scored at a time.
 TOGETHER = 512
@@ -90,62 +90,110 @@ def _frequencies(sent):
     return run
 
 
+def flat(columns: list, tf: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, tf) of lists of terms."""
+    owner = np.repeat(np.arange(len(columns)), [len(c) for c in columns])
+    return owner, *(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (columns, tf))
+
+
+def relevance(df: np.ndarray, toxic: np.ndarray, examples: int, toxic_examples: int) -> np.ndarray:
+    """Size of the correlation between holding a term (df examples, of which ``toxic`` are toxic) and being toxic."""
+    spread = df * (examples - df) * float(toxic_examples) * (examples - toxic_examples)
+    return np.divide(np.abs(examples * toxic - df * float(toxic_examples)), np.sqrt(spread), out=np.zeros(len(df)), where=spread > 0)
+
+
 class Index:
-    """Unit vectors of examples in blocks, with what scoring needs."""
-
-    def __init__(self, vocabulary: Vocabulary, idf: np.ndarray, columns: list, tf: list, rest: np.ndarray, label: np.ndarray, ids: np.ndarray):
-        self.vocabulary, self.idf = vocabulary, idf
-        owner = np.repeat(np.arange(len(columns)), [len(c) for c in columns])
-        flat = [np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (columns, tf)]
-        x = self.vectors(len(columns), owner, *flat, rest)
-        order = np.lexsort((ids, x[:, :-1].argmax(axis=1) if x.shape[1] > 1 else ids, label))
-        self.label, self.ids, x = label[order].astype(np.float64), ids[order], x[order]
-        self.blocks, most = [], []
-        for low in range(0, len(x), BLOCK):
-            part = x[low : low + BLOCK].T
-            terms = np.flatnonzero(part.any(axis=1))
-            self.blocks.append((low, terms, np.ascontiguousarray(part[terms])))
-            most.append(part.max(axis=1))
-        self.most = np.stack(most, axis=1) if most else np.zeros((x.shape[1], 0), np.float32)
-        self.curve = (0.0, 1.0)
+    """Unit vectors of examples as postings, with what scoring needs.
 
-    def vectors(self, rows: int, owner: np.ndarray, column: np.ndarray, tf: np.ndarray, rest: np.ndarray) -> np.ndarray:
-        x = np.zeros((rows, len(self.idf) + 1), dtype=np.float32)
-        x[owner, column] = (1 + np.log(tf)) * self.idf[column]
-        x[:, -1] = REST * np.log1p(rest)
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    ``weight`` has a number for each of the vocabulary's terms; ``columns`` and ``tf`` list the terms of each example.
+    """
 
-    def nearest(self, q: np.ndarray, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
-        """(similarity, example) of the k best examples of each query, best first; ties go to the lower number."""
-        k = min(k, len(self.label))
-        best = np.full((len(q), k), -1.0)  # similarity less a trifle for the example's number
-        bound = q @ self.most
+    def __init__(self, vocabulary: Vocabulary, weight: np.ndarray, columns: list, tf: list, label: np.ndarray, ids: np.ndarray):
+        self.vocabulary, self.weight = vocabulary, weight
+        n = len(columns)
+        owner, column, value = self.entries(n, *flat(columns, tf))
+        main = np.full(n, -1)
+        up = np.argsort(value, kind="stable")
+        main[owner[up]] = column[up]
+        order = np.lexsort((ids, main, label))
+        self.label, self.ids = label[order].astype(np.float64), ids[order]
+        owner = np.argsort(order)[owner]
+        many = np.bincount(column, minlength=len(weight)) > SHORT
+        #: Number of a long list, or -1.
+        self.long = np.where(many, np.cumsum(many) - 1, -1)
+        cut = many[column]
+        by = np.lexsort((owner[~cut], column[~cut]))
+        self.example, self.value = owner[~cut][by], value[~cut][by]
+        self.start = np.searchsorted(column[~cut][by], np.arange(len(weight) + 1))
+        owner, column, value = owner[cut], self.long[column[cut]], value[cut]
+        self.blocks, most = [], [np.zeros((many.sum(), 0), np.float32)]
+        for low in range(0, n, BLOCK):
+            here = (owner >= low) & (owner < low + BLOCK)
+            part = np.zeros((many.sum(), min(BLOCK, n - low)), dtype=np.float32)
+            part[column[here], owner[here] - low] = value[here]
+            terms = np.flatnonzero(part.any(axis=1))
+            self.blocks.append((low, terms, part[terms]))
+            most.append(part.max(axis=1)[:, None])
+        self.most = np.concatenate(most, axis=1)
+        self.curve = (0.0, 1.0)
 
-        def visit(b: int, rows: np.ndarray) -> None:
+    def entries(self, rows: int, owner: np.ndarray, column: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, term, value) of unit vectors."""
+        value = (1 + np.log(tf)) * self.weight[column]
+        length = np.sqrt(np.bincount(owner, weights=value * value, minlength=rows))
+        some = value > 0
+        owner, column, value = owner[some], column[some], value[some]
+        return owner, column, (value / length[owner]).astype(np.float32)
+
+    def nearest(self, rows: int, owner: np.ndarray, column: np.ndarray, value: np.ndarray, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
+        """(similarity, example) of the k best examples of each of ``rows`` queries, best first; ties go to the lower number."""
+        n = len(self.label)
+        k = min(k, n)
+        best = np.full((rows, k), -1.0)  # similarity less a trifle for the example's number
+        slot = self.long[column]
+        cut = slot >= 0
+        q = np.zeros((rows, len(self.most)), dtype=np.float32)
+        q[owner[cut], slot[cut]] = value[cut]
+        owner, column, value = owner[~cut], column[~cut], value[~cut]
+        size = self.start[column + 1] - self.start[column]
+        at = np.repeat(self.start[column] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        short = np.bincount(np.repeat(owner, size) * n + self.example[at], weights=np.repeat(value, size) * self.value[at], minlength=rows * n)
+        short = short.reshape(rows, n)
+        bound = q @ self.most + np.maximum.reduceat(short, np.arange(0, n, BLOCK), axis=1)
+
+        def visit(b: int, some: np.ndarray) -> None:
             low, terms, postings = self.blocks[b]
-            found = (q[np.ix_(rows, terms)] @ postings).astype(np.float64)
+            found = (q[np.ix_(some, terms)] @ postings).astype(np.float64) + short[some, low : low + postings.shape[1]]
             found = np.round(found, 6) - (low + np.arange(postings.shape[1])) * 1e-11
-            both = np.concatenate([best[rows], found], axis=1)
-            best[rows] = -np.partition(-both, k - 1, axis=1)[:, :k]
+            both = np.concatenate([best[some], found], axis=1)
+            best[some] = -np.partition(-both, k - 1, axis=1)[:, :k]
 
         first = bound.argmax(axis=1)
         for b in np.unique(first):
             visit(int(b), np.flatnonzero(first == b))
         for b in np.argsort(-bound.max(axis=0), kind="stable"):
-            rows = np.flatnonzero((first != b) & (bound[:, b] + 2e-6 >= best.min(axis=1)))
-            if len(rows):
-                visit(int(b), rows)
+            some = np.flatnonzero((first != b) & (bound[:, b] + 2e-6 >= best.min(axis=1)))
+            if len(some):
+                visit(int(b), some)
         best = -np.sort(-best, axis=1)
         similarity = np.round(best, 6)
         return similarity, np.rint((similarity - best) * 1e11).astype(np.int64)
 
-    def votes(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Share of the votes for toxic, and the examples."""
-        if not len(self.label) or not len(q):
-            return np.zeros(len(q)), np.zeros((len(q), 0), np.int64)
-        similarity, example = self.nearest(q)
-        weight = 1 / (1 - np.clip(similarity, 0, 1) + SOFT)
-        return (weight * self.label[example]).sum(axis=1) / weight.sum(axis=1), example
+    def votes(self, rows: int, owner: np.ndarray, column: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Share of the votes for toxic, and the examples, of ``rows`` texts whose terms are given text by text."""
+        share = np.zeros(rows)
+        if not len(self.label):
+            return share, np.zeros((rows, 0), np.int64)
+        near = np.zeros((rows, min(NEAREST, len(self.label))), np.int64)
+        owner, column, value = self.entries(rows, owner, column, tf)
+        for low in range(0, rows, TOGETHER):
+            high = min(rows, low + TOGETHER)
+            own = slice(*np.searchsorted(owner, [low, high]))
+            similarity, example = self.nearest(high - low, owner[own] - low, column[own], value[own])
+            weight = 1 / (1 - np.clip(similarity, 0, 1) + SOFT)
+            share[low:high] = (weight * self.label[example]).sum(axis=1) / weight.sum(axis=1)
+            near[low:high] = example
+        return share, near
 
     def calibrate(self, votes: np.ndarray, label: np.ndarray) -> None:
         """A logistic curve by Newton steps, with one pseudo-example of each label."""
@@ -180,54 +228,32 @@ def build(docs: DataFrame, labels: DataFrame) -> Index:
     spark = docs.sparkSession
     # broadcast: the sample has at most TOXIC + OTHER + CALIBRATION rows
     picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(sample(labels)), "doc_id")
-    counted = picked.select("doc_id", "part", "toxic", "text").mapInArrow(
-        _counted, "doc_id bigint, part string, toxic int, terms array<bigint>, tf array<int>"
-    )
-    counted = stored(counted, "examples")
-    size = counted.where("part = 'example'").agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("n1")).first()
-    by = counted.where("part = 'example'").select("toxic", F.explode("terms").alias("term")).groupBy("term")
-    by = by.agg(F.count("*").alias("df"), F.sum("toxic").alias("df1")).where(F.col("df") >= LEAST)
-    expected = F.col("df") * size.n1 / max(1, size.n)
-    chi = F.pow(F.col("df1") - expected, 2) / (F.col("df") * F.greatest(F.lit(size.n) - F.col("df"), F.lit(1)))
-    top = by.select("term", chi.alias("chi")).orderBy(F.desc("chi"), "term").limit(TERMS).toArrow()
-    vocabulary = Vocabulary(top["term"].to_numpy())
-    sent = spark.sparkContext.broadcast(vocabulary)
-    found = docs.select("text").mapInArrow(_frequencies(sent), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    df, total = np.zeros(len(vocabulary.terms)), 0
-    for r in found:
-        if r.term < 0:
-            total = r.n
-        else:
-            df[r.term] = r.n
-    idf = np.log((total + 1) / (df + 1))
-
-    def reduced(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            h, tf = (batch[c].flatten().to_numpy() for c in ("terms", "tf"))
-            owner = np.repeat(np.arange(len(batch)), pa.compute.list_value_length(batch["terms"]).to_numpy())
-            col = sent.value.columns(h.view(np.uint64))
-            rest = np.bincount(owner, weights=tf * (col < 0), minlength=len(batch)).astype(np.int64)
-            owner, col, tf = owner[col >= 0], col[col >= 0], tf[col >= 0]
-            ends = pa.array(np.searchsorted(owner, np.arange(len(batch) + 1)).astype(np.int32))
-            columns = [batch[c] for c in ("doc_id", "part", "toxic")]
-            columns += [pa.ListArray.from_arrays(ends, pa.array(col.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(tf)), pa.array(rest)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "toxic", "columns", "tf", "rest"])
-
-    rows = counted.mapInArrow(reduced, "doc_id bigint, part string, toxic int, columns array<int>, tf array<int>, rest bigint")
-    rows = rows.toArrow().sort_by([("doc_id", "ascending")])
+    picked = picked.groupBy("doc_id", "part", "toxic").agg(F.min("text").alias("text"))  # an id may repeat
+    rows = picked.mapInArrow(_counted, "doc_id bigint, part string, toxic int, terms array<bigint>, tf array<int>").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending")])
 
     def of(part: str):
         own = rows.filter(pa.compute.equal(rows["part"], part))
-        lists = [[np.asarray(v, dtype=np.int64) for v in own[c].to_pylist()] for c in ("columns", "tf")]
-        return lists[0], lists[1], own["rest"].to_numpy(), own["toxic"].to_numpy(), own["doc_id"].to_numpy()
+        terms, tf = ([np.asarray(v, dtype=np.int64) for v in own[c].to_pylist()] for c in ("terms", "tf"))
+        return terms, tf, own["toxic"].to_numpy(), own["doc_id"].to_numpy()
 
-    columns, tf, rest, label, ids = of("example")
-    index = Index(vocabulary, idf, columns, tf, rest, label, ids)
-    columns, tf, rest, label, _ = of("calibration")
-    owner = np.repeat(np.arange(len(columns)), [len(c) for c in columns])
-    flat = [np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (columns, tf)]
-    votes = index.votes(index.vectors(len(columns), owner, *flat, rest))[0]
-    index.calibrate(votes, label)
+    terms, tf, label, ids = of("example")
+    vocabulary = Vocabulary(np.unique(np.concatenate([*terms, np.zeros(0, np.int64)])))
+    sent = spark.sparkContext.broadcast(vocabulary)
+    found = docs.select("text").mapInArrow(_frequencies(sent), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = found["term"].to_numpy(), found["n"].to_numpy()
+    df = np.zeros(len(vocabulary.terms))
+    df[term[term >= 0]] = n[term >= 0]
+    owner, column, _ = flat([vocabulary.columns(x.view(np.uint64)) for x in terms], tf)
+    held, toxic = (np.bincount(column, weights=x, minlength=len(df)) for x in (np.ones(len(owner)), label[owner]))
+    idf = np.log((n[term < 0].sum() + 1) / (df + 1))
+    weight = idf * relevance(held, toxic, len(label), int(label.sum()))
+    index = Index(vocabulary, weight, [vocabulary.columns(x.view(np.uint64)) for x in terms], tf, label, ids)
+
+    terms, tf, label, _ = of("calibration")
+    owner, column, tf = flat([vocabulary.columns(x.view(np.uint64)) for x in terms], tf)
+    known = column >= 0
+    index.calibrate(index.votes(len(label), owner[known], column[known], tf[known])[0], label)
     return index
 
 
@@ -240,16 +266,14 @@ def _scored(sent):
                 n = end - at
                 h, row, *_ = batches.words(data, off)
                 col = index.vocabulary.columns(h)
-                rest = np.bincount(row[col < 0], minlength=n)
-                size = len(index.idf) + 1
+                size = max(1, len(index.weight))
                 pairs, tf = np.unique(row[col >= 0] * np.int64(size) + col[col >= 0], return_counts=True)
-                q = index.vectors(n, pairs // size, pairs % size, tf, rest)
-                votes, example = zip(*(index.votes(q[k : k + TOGETHER]) for k in range(0, n, TOGETHER)), strict=True)
-                example = np.concatenate(example)[:, :EVIDENCE]
+                votes, example = index.votes(n, pairs // size, pairs % size, tf)
+                example = example[:, :EVIDENCE]
                 bounds = pa.array((np.arange(n + 1) * example.shape[1]).astype(np.int32))
                 evidence = pa.ListArray.from_arrays(bounds, pa.array(index.ids[example.ravel()] if example.size else np.zeros(0, np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].cast(pa.int64()).slice(at, n), pa.array(index.score(np.concatenate(votes))), evidence],
+                    [batch["doc_id"].cast(pa.int64()).slice(at, n), pa.array(index.score(votes)), evidence],
                     names=["doc_id", "score", "evidence"],
                 )
 

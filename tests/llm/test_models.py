@@ -1,6 +1,7 @@
 """The scorers by held-out accuracy, the neighbour search against all examples, the mix by its marginals, and the pipeline."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -49,25 +50,68 @@ def test_toxicity_on_held_out_labels(spark):
     assert np.mean([r.predicted == r.toxic for r in got]) > 0.95
 
 
-def test_nearest_equals_all_examples():
+@pytest.mark.parametrize(("terms", "longest"), [(40, 9), (40_000, 300)])
+def test_nearest_equals_all_examples(terms, longest):
     rng = np.random.default_rng(3)
-    n, terms = 700, 40
-    words = [np.sort(rng.choice(terms, rng.integers(1, 9), replace=False)) for _ in range(n)]
+    n = 700
+    # frequent and rare words, so that lists of both kinds occur
+    words = [np.unique((terms * rng.random(rng.integers(1, longest)) ** 3).astype(int)) for _ in range(n)]
     words[5] = words[6] = words[7]
+    words[8] = words[8][:0]
     tf = [rng.integers(1, 4, len(w)) for w in words]
     tf[5] = tf[6] = tf[7]
-    index = toxicity.Index(toxicity.Vocabulary(np.arange(terms)), rng.random(terms) + 0.2, words, tf, rng.integers(0, 30, n), rng.integers(0, 2, n), np.arange(n))
-    own = [np.concatenate(x) for x in (words, tf)]
-    q = index.vectors(n, np.repeat(np.arange(n), [len(w) for w in words]), *own, np.zeros(n))[:200]
-    x = np.zeros((n, terms + 1), np.float32)
-    for low, rows, postings in index.blocks:
-        x[low : low + postings.shape[1], rows] = postings.T
-    all_ = np.round((q @ x.T).astype(np.float64), 6)
-    similarity, example = index.nearest(q)
+    weight = rng.random(terms) * (rng.random(terms) > 0.1)
+    x = np.zeros((n, terms))
+    for k, (w, t) in enumerate(zip(words, tf, strict=True)):
+        x[k, w] = (1 + np.log(t)) * weight[w]
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    index = toxicity.Index(toxicity.Vocabulary(np.arange(terms)), weight, words, tf, rng.integers(0, 2, n), np.arange(n))
+    assert (index.long >= 0).any() and ((index.long < 0) & (index.start[1:] > index.start[:-1])).any() or terms == 40
+    all_ = (x @ x.T)[:, index.ids]
+    similarity, example = index.nearest(n, *index.entries(n, *toxicity.flat(words, tf)))
     assert np.abs(similarity - -np.sort(-all_, axis=1)[:, : toxicity.NEAREST]).max() < 3e-6
     assert np.abs(np.take_along_axis(all_, example, axis=1) - similarity).max() < 3e-6
 
 
+def test_index_holds_all_words_of_the_examples(spark):
+    """Vocabulary, frequencies over all documents, relevance and neighbours against plain counting."""
+    docs, labels = read(spark, "documents"), read(spark, "labels")
+    docs = docs.union(docs.limit(3))
+    index = toxicity.build(docs, labels)
+    texts, own = {}, []
+    for r in docs.select("doc_id", "text").collect():
+        texts[r.doc_id] = r.text or ""
+        own.append(Counter(brute.words(r.text)))
+    toxic = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id in texts and r.toxic in (0, 1)}
+    examples = {k: Counter(brute.words(texts[k])) for k in toxic if zlib.crc32(str(k).encode()) % 5 > 1}
+    assert sorted(index.ids.tolist()) == sorted(examples)
+    vocabulary = sorted(set().union(*examples.values()))
+    assert len(index.weight) == len(vocabulary) > 1000
+    df, held, bad = (Counter(w for c in x for w in c) for x in (own, examples.values(), (c for k, c in examples.items() if toxic[k])))
+    n, n1 = len(examples), sum(toxic[k] for k in examples)
+    weight = {}
+    for w in vocabulary:
+        spread = held[w] * (n - held[w]) * n1 * (n - n1)
+        weight[w] = np.log((len(own) + 1) / (df[w] + 1)) * (abs(n * bad[w] - held[w] * n1) / spread**0.5 if spread else 0)
+
+    def vector(text):
+        v = {w: (1 + np.log(t)) * weight[w] for w, t in Counter(brute.words(text)).items() if weight.get(w)}
+        length = sum(x * x for x in v.values()) ** 0.5
+        return {w: x / length for w, x in v.items()}
+
+    near = {k: vector(texts[k]) for k in examples}
+    at = {int(k): j for j, k in enumerate(index.ids)}
+    some = sorted(texts)[::9]
+    got = {r.doc_id: r for r in toxicity.scores(docs, labels).collect()}
+    for k in some:
+        v = vector(texts[k])
+        best = sorted(((-round(sum(x * y.get(w, 0) for w, x in v.items()), 5), at[e]) for e, y in near.items()))[:15]
+        votes = [1 / (1 + min(s, 0) + toxicity.SOFT) for s, _ in best]
+        share = sum(x * index.label[j] for x, (_, j) in zip(votes, best, strict=True)) / sum(votes)
+        assert abs(index.score(share) - got[k].score) < 0.01
+        assert abs(sum(x * near[got[k].evidence[0]].get(w, 0) for w, x in v.items()) + best[0][0]) < 2e-5
+
+
 @pytest.mark.parametrize("scores", [quality.scores, toxicity.scores])
 def test_scorers_take_odd_rows_and_no_labels(spark, odd_docs, no_docs, scores):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 1), (5, None, None), (None, 1, 1), (1, 1, 0)], "doc_id bigint, quality int, toxic int")
