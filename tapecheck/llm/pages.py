@@ -2,13 +2,17 @@
 
 A page is cut into blocks (lines of text between block elements). Blocks inside elements that are
 never the article (menus, headers, footers, sidebars, notices, adverts, forms, comments: by element, role, or
-the words of class and id) go; blocks of an ``article`` element stay, and if there are any, the
-page's text is these. All other blocks are open, and differencing decides on them: pages of a host stand
+the words of class and id) go; blocks of an ``article`` element are candidates that stay. All other blocks are open, and
+differencing decides on them, whether or not the page has articles: pages of a host stand
 in the order of their URL path, a page is aligned with the neighbour that shares the longer
 start of the path (longest common subsequence of the two pages' lines), and open lines that both pages share are
-deleted as the host's template. A neighbour that shares most of the open text is a mirror of the page, not
+deleted as the host's template. A neighbour that shares most of the page's candidates and open text is a mirror of the page, not
 a sibling: the other neighbour is taken, or nothing is deleted.
 
+Where open blocks are left beside articles, the page's text is whichever of the two is longer, and always the open blocks of
+its ``main`` element: articles that are shorter than the rest are cards that lead to other pages. Blocks of an article are not
+deleted even if a neighbour has them too: articles do repeat passages of others, and those are their text.
+
 Differencing alone cannot give right results on pages whose menus and adverts differ from page to page,
 nor on a host with one page; that is why markup decides first.
 
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 from tapecheck.llm import batches
 from tapecheck.llm.tables import stored
 
-#: A neighbour that shares this part of the open text or more has the same text.
+#: A neighbour that shares this part of the candidates' and open text or more has the same text.
 MIRROR = 0.6
 
 # Names of HTML.
@@ -80,8 +84,8 @@ def _marked(name: str, attributes: str) -> bool:
     return False
 
 
-#: What a block is: text of the article, text that is never the article, or open.
-ARTICLE, NEVER, OPEN = 0, 1, 2
+#: What a block is: text of an article, text that is never the article, open, or open inside a main element.
+ARTICLE, NEVER, OPEN, MAIN = 0, 1, 2, 3
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
@@ -94,7 +98,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
     parts: list[str] = []
     stack: list[tuple[str, bool]] = []  # open elements and whether they are marked
     count: Counter[str] = Counter()  # open elements by name
-    marked = article = 0
+    marked = article = main = 0
     at, last = 0, page.rfind(">")
 
     def end() -> None:
@@ -102,7 +106,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                out.append((text, NEVER if marked else ARTICLE if article else OPEN))
+                out.append((text, NEVER if marked else ARTICLE if article else MAIN if main else OPEN))
 
     while at < len(page):
         # beyond the last > only an unclosed comment is no text
@@ -126,6 +130,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
                     end()
                 marked -= sum(m for _, m in stack[depth:])
                 article -= sum(x == "article" for x, _ in stack[depth:])
+                main -= sum(x == "main" for x, _ in stack[depth:])
                 del stack[depth:]
             continue
         attributes = tag[3] or tag[6] or ""
@@ -142,6 +147,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
             end()
         marked += never
         article += name == "article"
+        main += name == "main"
         # an element that ends where the next of its kind begins
         if name in ("p", "li", "tr", "dt", "dd") and stack and stack[-1][0] == name:
             marked -= stack.pop()[1]
@@ -153,9 +159,10 @@ def blocks(page: str) -> list[tuple[str, int]]:
 
 
 def _main(found: list[tuple[str, int]], gone: set[int]) -> str:
-    kinds = {kind for _, kind in found}
-    wanted = ARTICLE if ARTICLE in kinds else OPEN
-    return "\n\n".join(text for k, (text, kind) in enumerate(found) if kind == wanted and k not in gone)
+    left = [(text, kind) for k, (text, kind) in enumerate(found) if kind != NEVER and k not in gone]
+    articles = sum(len(text) for text, kind in left if kind == ARTICLE)
+    wanted = ARTICLE if 2 * articles >= sum(len(text) for text, _ in left) else OPEN
+    return "\n\n".join(text for text, kind in left if kind in (wanted, MAIN))
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:
@@ -201,29 +208,32 @@ def _address(url: str | None) -> tuple[str, str]:
 
 def _outlines(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         for url, page in zip(batch["url"].to_pylist(), batch["html"].to_pylist(), strict=True):
             found = blocks(page or "")
-            undecided = [] if any(kind == ARTICLE for _, kind in found) else [k for k, (_, kind) in enumerate(found) if kind == OPEN]
+            undecided = any(kind in (OPEN, MAIN) for _, kind in found)
+            content = [k for k, (_, kind) in enumerate(found) if kind != NEVER] if undecided else []
             texts = pa.array([text for text, _ in found], pa.large_string())
             lines: list[int] = []
             for _, _, data, off in batches.chunks(texts):
                 lines += batches.signed(batches.span_hashes(batches.prefix_hashes(data), off[:-1], off[1:])).tolist()
-            for x, v in zip(out, (*_address(url), lines, undecided, [len(found[k][0]) for k in undecided]), strict=True):
+            for x, v in zip(
+                out, (*_address(url), lines, content, [len(found[k][0]) for k in content], [found[k][1] != ARTICLE for k in content]), strict=True
+            ):
                 x.append(v)
-        kinds = (pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()))
+        kinds = (pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.bool_()))
         yield pa.RecordBatch.from_arrays(
             [batch["k1"], batch["k2"], *(pa.array(v, k) for v, k in zip(out, kinds, strict=True))],
-            names=["k1", "k2", "host", "path", "lines", "undecided", "sizes"],
+            names=["k1", "k2", "host", "path", "lines", "content", "sizes", "open"],
         )
 
 
-OUTLINE = "k1 bigint, k2 bigint, host string, path string, lines array<bigint>, undecided array<int>, sizes array<int>"
+OUTLINE = "k1 bigint, k2 bigint, host string, path string, lines array<bigint>, content array<int>, sizes array<int>, open array<boolean>"
 
 
 def template_lines(page: dict, before: dict | None, after: dict | None) -> list[int]:
     """Open lines of ``page`` that go: those shared with the nearer neighbour that is no mirror."""
-    if not page["undecided"]:
+    if not page["content"]:
         return []
 
     def near(other: dict) -> int:
@@ -236,15 +246,15 @@ def template_lines(page: dict, before: dict | None, after: dict | None) -> list[
     total = sum(page["sizes"])
     for other in sorted(others, key=near, reverse=True):
         shared = set(common_lines(page["lines"], other["lines"]))
-        gone = [k for k in page["undecided"] if k in shared]
-        if sum(n for k, n in zip(page["undecided"], page["sizes"], strict=True) if k in shared) < MIRROR * total:
-            return gone
+        both = [x for x in zip(page["content"], page["sizes"], page["open"], strict=True) if x[0] in shared]
+        if sum(n for _, n, _ in both) < MIRROR * total:
+            return [k for k, _, undecided in both if undecided]
     return []
 
 
-PAGE = "struct<host:string,path:string,lines:array<bigint>,undecided:array<int>,sizes:array<int>>"
+PAGE = "struct<host:string,path:string,lines:array<bigint>,content:array<int>,sizes:array<int>,open:array<boolean>>"
 STEP = f"k1 bigint, k2 bigint, gone array<int>, end string, page {PAGE}, inner {PAGE}"
-_PAGE = pa.struct([("host", pa.string()), ("path", pa.string())] + [(k, pa.list_(t)) for k, t in (("lines", pa.int64()), ("undecided", pa.int32()), ("sizes", pa.int32()))])
+_PAGE = pa.struct([("host", pa.string()), ("path", pa.string())] + [(k, pa.list_(t)) for k, t in (("lines", pa.int64()), ("content", pa.int32()), ("sizes", pa.int32()), ("open", pa.bool_()))])
 _STEP = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("gone", pa.list_(pa.int32())), ("end", pa.string()), ("page", _PAGE), ("inner", _PAGE)])
 
 

@@ -135,6 +135,67 @@ def test_shared_lines_go_where_markup_is_silent(spark, monkeypatch, parts):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_articles_are_evidence_and_no_switch(spark):
+    """Teasers beside the story, template beside an article, a headline outside of it, a passage of two articles, mirrors."""
+    story = [f"Story {k} is told at some length here, with {k * 7} words and more that no card would hold" for k in range(8)]
+
+    def teasers(k):
+        return f"<div>Read on below</div><main><h1>Head {k}</h1><p>{story[k]}</p></main><article><p>Other story {k}</p></article><article>And one {k + 1}</article>"
+
+    def wrapped(k):
+        return f"<div>Read on below</div><div>Page {k}</div><main><h1>Head {k}</h1><article><p>{story[k]}</p><p>A passage that many quote</p></article></main><p>All rights kept</p>"
+
+    found = [(f"http://t.org/{k}", teasers(k)) for k in range(4)] + [(f"http://w.org/{k}", wrapped(k)) for k in range(4, 8)]
+    found += [("http://m.org/a", wrapped(4)), ("http://m.org/b", wrapped(4)), ("http://solo.org/", teasers(5))]
+    got = page_texts(spark, found)
+    assert all(got[k] == f"Head {k}\n\n{story[k]}" for k in range(4))
+    assert all(got[k] == f"Head {k}\n\n{story[k]}\n\nA passage that many quote" for k in range(4, 8))
+    assert got[8] == got[9] == got[4] and got[10] == f"Read on below\n\nHead 5\n\n{story[5]}"
+
+
+def test_pages_equal_plain_differencing(spark):
+    """Whole pages of several hosts against the rules written out, with the common subsequence by a table."""
+    rng = random.Random(11)
+    found = []
+    for host in range(4):
+        for k in range(12):
+            blocks = [("div", f"template {host} {x}") for x in range(rng.randrange(4))]
+            blocks += [(rng.choice(["p", "article", "nav", "main"]), f"text {rng.randrange(60)} " + "of the page " * rng.randrange(1, 6)) for _ in range(rng.randrange(6))]
+            blocks += [("div", f"end {host} {x}") for x in range(rng.randrange(3))]
+            found.append((f"http://h{host}.org/{k // 4}/{k:02d}", blocks))
+    kind = {"div": "open", "p": "open", "nav": "never", "article": "article", "main": "main"}
+
+    def common(a, b):
+        best = [[[]] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for x in range(len(a)):
+            for y in range(len(b)):
+                best[x + 1][y + 1] = [*best[x][y], x] if a[x] == b[y] else max(best[x][y + 1], best[x + 1][y], key=len)
+        return best[-1][-1]
+
+    want = []
+    for at, (url, blocks) in enumerate(found):
+        texts = [t.strip() for _, t in blocks]
+        path = url.split(".org")[1]
+        sides = [found[x] for x in (at - 1, at + 1) if 0 <= x < len(found) and found[x][0][:10] == url[:10]]
+        sides.sort(key=lambda x: -next((k for k, (c, d) in enumerate(zip(path, x[0].split(".org")[1], strict=True)) if c != d)))
+        gone, content = set(), [k for k, (x, _) in enumerate(blocks) if kind[x] != "never"]
+        for _, other in sides:
+            shared = set(common(texts, [t.strip() for _, t in other])) & set(content)
+            if sum(len(texts[k]) for k in shared) < pages.MIRROR * sum(len(texts[k]) for k in content):
+                gone = {k for k in shared if kind[blocks[k][0]] != "article"}
+                break
+        left = [(texts[k], kind[blocks[k][0]]) for k in content if k not in gone]
+        size = {x: sum(len(t) for t, y in left if (y == "article") == x) for x in (True, False)}
+        wanted = {"main", "article" if size[True] >= size[False] else "open"}
+        want.append("\n\n".join(t for t, x in left if x in wanted))
+    html = [(url, "".join(f"<{x}>{t}</{x}>" for x, t in blocks)) for url, blocks in found]
+    got = page_texts(spark, html)
+    differ = [k for k in range(len(found)) if got[k] != want[k]]
+    # of several longest subsequences any may be taken: the kept text is then as long
+    assert len(differ) <= 2 and all(len(got[k]) == len(want[k]) for k in differ), [(got[k], want[k]) for k in differ]
+    assert sum(bool(w) for w in want) > 30
+
+
 def test_common_lines_are_longest():
     rng = random.Random(3)
     for _ in range(400):
