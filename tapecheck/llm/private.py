@@ -5,12 +5,13 @@ passes is personal data whatever the trees say. The wide ones (``WIDE``) look be
 of their kind for other spellings: (at) and (dot), [.] between octets, other separators in
 card numbers, phone numbers without a country code. Proposals of different kinds may overlap.
 
-Each candidate has a few small features (see ``FEATURES``). Weak labels: a plain match that passes
-its check is positive, one that fails is negative; a wide one is positive if a word before it names its kind.
+Each candidate has a few small features of its format and of the characters beside it (see ``FEATURES``). The weak labels
+come from evidence that no feature holds: a plain match is positive if it passes its check, a wide one if it passes and a
+word before it names its kind. So the trees learn which formats go with that evidence, and find the ones without a naming word too.
 Candidates of all documents are counted by feature vector and label (there are at most a few thousand
 vectors, whatever the corpus), and gradient-boosted trees of depth two are fitted to the counts of
 even documents. For each kind, the threshold is the lowest score from which on at least ``PRECISION`` of the
-candidates in odd documents are positive. Wide candidates at or above it are added.
+wide candidates in odd documents are positive. Wide candidates that pass their check and reach it are added.
 
 Everything that touches rows is a DataFrame expression; the driver only sees the counted vectors.
 """
@@ -54,7 +55,7 @@ NAMED = {
     "phone": r"(?i)\b(?:tel|phone|call|fax|mobile|cell|whatsapp)",
 }
 NEAR = 24
-FEATURES = ("check", "digits", "separator", "named", "before", "after", "long")
+FEATURES = ("spelling", "digits", "groups", "separator", "before", "after", "long")
 
 
 def let(value: Column, fn: Callable[[Column], Column]) -> Column:
@@ -147,9 +148,8 @@ def _side(c: Column) -> Column:
 
 
 def _candidate(kind: str, wide: bool, s: Column) -> Column:
-    """(kind, start, end, wide, positive, features...) of a span."""
+    """(kind, start, end, wide, passes, positive, features...) of a span."""
     check = CHECK[kind](s["value"])
-    named = s["left"].rlike(NAMED[kind])
     separator = (
         F.when(s["value"].contains("("), 4).when(s["value"].rlike("[_/]"), 5).when(s["value"].contains(" "), 1)
         .when(s["value"].contains("-"), 2).when(s["value"].contains("."), 3).otherwise(0)
@@ -159,11 +159,12 @@ def _candidate(kind: str, wide: bool, s: Column) -> Column:
         s["start"].alias("start"),
         s["end"].alias("end"),
         F.lit(wide).alias("wide"),
-        (named if wide else check).alias("positive"),
-        check.cast("int").alias("check"),
+        check.alias("passes"),
+        (check & s["left"].rlike(NAMED[kind]) if wide else check).alias("positive"),
+        F.lit(int(wide)).alias("spelling"),
         F.least(F.length(_digits(s["value"])), F.lit(20)).cast("int").alias("digits"),
+        F.least(F.size(F.regexp_extract_all(s["value"], F.lit("[0-9]++"), F.lit(0))), F.lit(9)).alias("groups"),
         separator.alias("separator"),
-        named.cast("int").alias("named"),
         _side(F.substring(s["left"], -1, 1)).alias("before"),
         _side(s["right"]).alias("after"),
         (F.length(s["value"]) > 24).cast("int").alias("long"),
@@ -178,7 +179,7 @@ def _between(kind: str) -> Callable[[Column], Column]:
     return lambda gap: found(gap["text"], WIDE[kind], gap["at"])["spans"]
 
 
-CANDIDATE = "array<struct<kind:int,start:bigint,end:bigint,wide:boolean,positive:boolean," + ",".join(f"{f}:int" for f in FEATURES) + ">>"
+CANDIDATE = "array<struct<kind:int,start:bigint,end:bigint,wide:boolean,passes:boolean,positive:boolean," + ",".join(f"{f}:int" for f in FEATURES) + ">>"
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -260,7 +261,7 @@ class Trees:
 
 
 def fitted(table: DataFrame) -> tuple[Trees, list[float]]:
-    """The trees and each kind's threshold, from all candidates."""
+    """The trees from the candidates of even documents, and each kind's threshold from the wide ones of odd documents."""
     names = ["kind", *FEATURES]
     counts = table.select("fold", F.explode("found").alias("c")).groupBy("fold", *(F.col(f"c.{n}").alias(n) for n in names))
     counts = counts.agg(F.sum(F.col("c.positive").cast("int")).alias("p"), F.count("*").alias("n")).orderBy("fold", *names).collect()
@@ -269,7 +270,7 @@ def fitted(table: DataFrame) -> tuple[Trees, list[float]]:
     cuts = []
     for kind in range(len(KINDS)):
         cut, p, n = math.inf, 0.0, 0.0
-        for s, a, b in sorted(((trees.score(x), a, b) for x, a, b in rows[1] if x[0] == kind), reverse=True):
+        for s, a, b in sorted(((trees.score(x), a, b) for x, a, b in rows[1] if x[0] == kind and x[1 + FEATURES.index("spelling")]), reverse=True):
             p, n = p + a, n + b
             if p + n >= LEAST and p >= PRECISION * (p + n):
                 cut = s
@@ -286,6 +287,7 @@ def _text(spans: Column) -> Column:
 def personal_data(docs: DataFrame) -> DataFrame:
     """One row per document: counts and hash of the plain spans, and all spans as text and as an array.
 
+    ``n_added`` counts the spans that the trees add, ``n_spans`` all spans of the text, of whatever kind.
     A null text counts as empty; its row has no spans. Rows that repeat a doc_id have a row each.
     """
     table = stored(candidates(docs), "candidates")
@@ -293,7 +295,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     cut = F.array(*(F.lit(c) for c in cuts))
     place = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
     plain = F.transform(F.filter("found", lambda c: ~c["wide"] & c["positive"]), place)
-    more = F.transform(F.filter("found", lambda c: c["wide"] & (trees.column(c) >= F.get(cut, c["kind"]) - 1e-9)), place)
+    more = F.transform(F.filter("found", lambda c: c["wide"] & c["passes"] & (trees.column(c) >= F.get(cut, c["kind"]) - 1e-9)), place)
     out = table.select("doc_id", plain.alias("plain"), more.alias("more"))
     count = lambda k: F.size(F.filter("plain", lambda s: s["kind"] == k)).cast("bigint")
     return out.select(
@@ -302,4 +304,5 @@ def personal_data(docs: DataFrame) -> DataFrame:
         F.sha2(_text(F.col("plain")), 256).alias("base_sha256"),
         _text(F.concat("plain", "more")).alias("spans"),
         F.size("more").cast("bigint").alias("n_added"),
+        (F.size("plain") + F.size("more")).cast("bigint").alias("n_spans"),
     )

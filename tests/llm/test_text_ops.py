@@ -82,6 +82,48 @@ def test_wide_spellings_are_added(spark):
     assert all(got[k].n_added == 0 for k in (*range(200), *range(2000, 2060)))
 
 
+def test_trees_learn_formats_that_no_single_feature_tells(spark):
+    """Ten digits go with a bracket and nine without; the other two are stock numbers. One in 50 real ones has no naming word."""
+    rng = random.Random(8)
+    forms = {"real": ["({0:03d}) {1:03d}-{2:04d}", "{0:02d}-{1:03d}-{2:04d}"], "stock": ["({0:02d}) {1:03d}-{2:04d}", "{0:03d}-{1:03d}-{2:04d}"]}
+    texts, want = [], {}
+    for k in range(1600):
+        sort = "real" if rng.random() < 0.6 else "stock"
+        form = rng.choices(forms[sort], [2, 1])[0]
+        low, high = (100, 999) if "{0:03d}" in form else (10, 99)
+        value = form.format(rng.randint(low, high), rng.randint(100, 999), rng.randint(1000, 9999))
+        word = ("phone" if k % 50 else "under") if sort == "real" else "stock"
+        texts.append((k, f"some words {word} {value} and more"))
+        want[k] = sort == "real"
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in private.personal_data(docs).collect()}
+    assert all((r.n_added, r.n_spans) == (1, 1) if want[k] else r.spans == "" for k, r in got.items())
+    table = private.candidates(docs).selectExpr("doc_id", "inline(found)").collect()
+    for feature in private.FEATURES:
+        by = {}
+        for r in table:
+            by.setdefault(r[feature], []).append(want[r.doc_id])
+        assert sum(max(sum(v), len(v) - sum(v)) for v in by.values()) < 0.8 * len(table), feature
+
+
+def test_scores_and_thresholds_equal_plain_ones(spark, sample_dir):
+    docs = spark.read.parquet(f"{sample_dir}/documents.parquet").select("doc_id", "text")
+    wide = [(10_000 + k, f"{'tel' if k % 3 else 'no'} ({k:03d}) 555-{k:04d} or {'mail' if k % 7 else 'see'} bob{k} (at) example (dot) com") for k in range(120)]
+    found = private.candidates(docs.union(spark.createDataFrame(wide, "doc_id bigint, text string")))
+    trees, cuts = private.fitted(found)
+    rows = found.select("fold", F.explode("found").alias("c")).select("fold", "c.*", trees.column(F.col("c")).alias("score")).collect()
+    for r in rows:
+        assert abs(trees.score((r.kind, *(r[f] for f in private.FEATURES))) - r.score) < 1e-9
+    for kind, cut in enumerate(cuts):
+        odd = [r for r in rows if r.fold == 1 and r.wide and r.kind == kind]
+        best = float("inf")
+        for at in {round(r.score, 9) for r in odd}:
+            upper = [r.positive for r in odd if r.score >= at - 1e-8]
+            if len(upper) >= private.LEAST and sum(upper) >= private.PRECISION * len(upper):
+                best = min(best, at)
+        assert best == cut or abs(best - cut) < 1e-8
+
+
 HTML = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <nav><ul><li>Home</li></ul></nav><div class="cookie-notice">We use cookies</div><!-- <p>no</p> -->
 <article><header><h1>Head &amp; line</h1></header><p>First <b>bold</b>&nbsp;text<br>goes  on<p>Second &lt;p&gt; &#233;
