@@ -274,6 +274,36 @@ def _(spark, d):
     )
 
 
+class _Away:
+    """A store that is away during every batch of odd number."""
+
+    def __init__(self, write):
+        self.write, self.missed = write, []
+
+    def __call__(self, batch, batch_id):
+        if batch_id % 2:
+            self.missed.append(batch_id)
+            raise OSError("store is away")
+        self.write(batch, batch_id)
+
+
+def second_store_with_outages(spark, trades: DataFrame, lateness_ms: int = 0) -> tuple[StrictCandles, str, int]:
+    """The strict path, packing as it goes, beside a store that is often away and is refilled afterwards:
+    (the path, the second store, rows refilled)."""
+    cfg = CandleSettings(window_ms=HOUR_MS, watermark_delay_ms=5_000, allowed_lateness_ms=lateness_ms, run_id="r1")
+    second, ck = shared_dir(spark, "second"), shared_dir(spark, "ck")
+    away = _Away(sinks.by_batch(second))
+    strict = StrictCandles(shared_dir(spark, "strict"), cfg, away, pack_every=2)
+    _run(spark, trades, lambda stream: sc.to_batches(job.valid_trades(stream), strict, ck))
+    return strict, second, sinks.refill_second(spark, strict.written_candles(spark), second)
+
+
+@query("snk5_refilled_store", _STREAM_CANDLES)
+def _(spark, d):
+    _, second, _ = second_store_with_outages(spark, _disordered(spark, d))
+    return spark.read.parquet(second).drop("batch_id", "ingested_at", "run_id")
+
+
 class _CrashOnce:
     """Fails the first non-empty batch of one block after the primary store has been written."""
 

@@ -45,13 +45,15 @@ def by_batch(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def refill_second(spark: SparkSession, primary: str, secondary: str) -> int:
+def refill_second(spark: SparkSession, primary: str | DataFrame, secondary: str) -> int:
     """Copy to the second store what only the first one has; returns the number of rows.
 
+    ``primary`` is a folder, or the rows themselves where folders are packed (``StrictCandles.written_candles``).
+
     A failed write to the second store does not stop the job, so its rows are found by comparing the
     stores and not by a log that could itself be lost.
     """
-    have = spark.read.parquet(primary).select(*CANDLE_COLUMNS)
+    have = (spark.read.parquet(primary) if isinstance(primary, str) else primary).select(*CANDLE_COLUMNS)
     try:
         there = spark.read.parquet(secondary).select(*CANDLE_COLUMNS)
     except AnalysisException as e:  # no batch has ever arrived there

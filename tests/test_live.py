@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from tapecheck.functions.timecols import wall_clock
 from tapecheck.operators import dedup, letters as lt, replay as rp
 from tapecheck.operators.candles import candles
+from tapecheck.plans.queries_streaming import second_store_with_outages
 from tapecheck.schema import CANDLE, OFFICIAL_CANDLE, TRADE
 from tapecheck.settings import CandleSettings, shared_dir
-from tapecheck.sources import stores, trades as tr
+from tapecheck.sources import derived as dv, stores, trades as tr
 from tapecheck.sources.positions import open_position
 from tapecheck.streaming import candles as sc, job, sinks
 from tapecheck.streaming.live import LiveJob
@@ -410,3 +411,15 @@ def test_equal_write_times_follow_the_run(spark):
     rows += [("B", w, D(k), D(k), D(k), D(k), D(k), k, at, "r") for k, at in ((1, w), (2, w + dt.timedelta(microseconds=1)), (3, None))]
     got = {r.symbol: (int(r.open), r.trade_count, r.write_count) for r in dedup.latest_candles(spark.createDataFrame(rows, CANDLE)).collect()}
     assert got == {"A": (1, 1, 4), "B": (2, 2, 3)}
+
+
+def test_second_store_is_refilled_also_from_packed_folders_and_rewritten_windows(spark, sf_dir):
+    tape = dv.disordered(dv.events_trades(spark, sf_dir))
+    for lateness in (0, 7_200_000):
+        strict, second, refilled = second_store_with_outages(spark, tape, lateness)
+        first = strict.written_candles(spark).drop("batch_id")
+        there = spark.read.parquet(second).select(*first.columns)
+        assert 0 < refilled < first.count() == there.count()
+        assert first.exceptAll(there).count() == 0
+        assert sinks.refill_second(spark, first, second) == 0
+    assert first.count() > first.select("symbol", "window_start").distinct().count()
