@@ -366,7 +366,7 @@ def _(spark, d):
     trades = dv.disordered(dv.events_trades(spark, d))
     rows = trades.select("event_id", "symbol", F.expr(f"event_ms - event_ms % {HOUR_MS}").alias("event_ms"), "ingest_ms")
     landing, out, ck = _landed_in_order(spark, rows, "ingest_ms", _FEW), shared_dir(spark, "numbered"), shared_dir(spark, "ck")
-    stream = sc.stream_session(spark).readStream.schema("event_id BIGINT, symbol STRING, event_ms BIGINT, ingest_ms BIGINT").option("maxFilesPerTrigger", 1)
+    stream = sc.stream_session(spark, several_states=True).readStream.schema("event_id BIGINT, symbol STRING, event_ms BIGINT, ingest_ms BIGINT").option("maxFilesPerTrigger", 1)
     sc.to_batches(numbered(stream.json(f"{landing}/*"), "event_id", _CELL_MS, HOUR_MS), sinks.by_batch(out), ck).awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
 

@@ -12,11 +12,20 @@ from tapecheck.settings import CandleSettings
 from tapecheck.sources.stores import with_day
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_session(spark: SparkSession, several_states: bool = False) -> SparkSession:
     """Session for stateful queries. The first run fixes the number of state partitions for the life of
-    the checkpoint, so it is the configured one, whatever number of executors exists at the start."""
+    the checkpoint, so it is the configured one, whatever number of executors exists at the start.
+
+    A processor with state variables and timers of its own (``several_states``) needs a state store with
+    column families. Spark's default store has none, so such a session names one that has.
+    """
     s = spark.newSession()
     s.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    if several_states:
+        s.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     return s
 
 

@@ -104,7 +104,7 @@ def numbered(trades: DataFrame, tie: str, cell_ms: int, horizon_ms: int = HORIZO
 
     The key is (symbol, time cell), so a busy symbol is spread over its cells and nothing is joined. The watermark follows the
     *arrival* time, which (unlike event time) never runs backwards by more than ``arrival_delay_ms``: no record is dropped
-    by the engine, and late ones are part of the result.
+    by the engine, and late ones are part of the result. Needs ``stream_session(spark, several_states=True)``.
     """
     rows = trades.select(
         "symbol", "event_ms", "ingest_ms", F.col(tie).alias("tie"), F.expr(f"event_ms div {cell_ms}").alias("cell"),
