@@ -12,7 +12,7 @@ from tapecheck.plans import sqlparts as s
 from tapecheck.plans.catalog import query
 from tapecheck.plans.queries_parsing import _REASONS
 from tapecheck.plans.queries_streaming import _BLOCK_MS, _BLOCK_SHIFT, _COLS, _records, _run, _wm
-from tapecheck.schema import CANDLE
+from tapecheck.schema import CANDLE, DEAD_LETTER, ROLLED_UP, SESSION, STORED_TRADE
 from tapecheck.settings import DAY_MS, HOUR_MS, CandleSettings, shared_dir
 from tapecheck.sources import derived as dv, derived_text as tx, stores, trades as tr
 from tapecheck.sources.positions import open_position
@@ -131,13 +131,13 @@ def _(spark, d):
         return df.select(F.lit(name).alias("store"), F.col("symbol").alias("name"), F.col("window_start").alias("at"), *ohlcv, F.col("trade_count").alias("n"))
 
     none = [F.lit(None).cast("decimal(18,8)" if c == "volume" else "decimal(18,4)").alias(c) for c in ohlcv]
-    raw = spark.read.parquet(paths.at("trades_raw"))
+    raw = stores.read_written(spark, paths.at("trades_raw"), STORED_TRADE)
     archived = raw.select(F.lit("archive").alias("store"), F.col("symbol").alias("name"), F.col("event_time").alias("at"),
                           *[F.col("price").alias(c) for c in ohlcv[:4]], "volume", F.lit(1).cast("bigint").alias("n"))
-    letters = spark.read.parquet(paths.at("dead_letters")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    letters = stores.read_written(spark, paths.at("dead_letters"), DEAD_LETTER).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
     letters = letters.select(F.lit("letter").alias("store"), F.col("reason").alias("name"), F.lit(None).cast("timestamp_ntz").alias("at"), *none, "n")
     return (
-        candles("candle", spark.read.parquet(paths.at("candles_1h")))
+        candles("candle", stores.read_written(spark, paths.at("candles_1h"), CANDLE))
         .unionByName(candles("second", spark.read.parquet(paths.at("candles_1h_second/0"))))
         .unionByName(archived)
         .unionByName(letters)
@@ -236,7 +236,7 @@ _ODD_CLOSED = f"epoch_ms(window_start) + {HOUR_MS} + 5000 <= (SELECT max(event_m
 def _(spark, d):
     paths = job.JobPaths(shared_dir(spark, "job"))
     _odd_stream(spark, d, lambda stream: job.start_candles(stream, _CFG, paths))
-    return spark.read.parquet(paths.at("candles")).drop("day", "ingested_at", "run_id")
+    return stores.read_written(spark, paths.at("candles"), CANDLE).drop("day", "ingested_at", "run_id")
 
 
 @query("str9_odd_numbers", s.with_([s.TRADES, _ODD, f"c AS ({s.ohlcv('fit', HOUR_MS)})"], f"SELECT {_COLS} FROM c WHERE {_ODD_CLOSED}"))
@@ -273,7 +273,7 @@ def _(spark, d):
         return sc.to_files(sc.session_candles(lt.good_trades(lt.classify(stream)), _GAP_MS, _CFG), out, ck, "session_start")
 
     _run(spark, dv.events_trades(spark, d), start)
-    return spark.read.parquet(out).drop("day")
+    return stores.read_written(spark, out, SESSION).drop("day")
 
 
 @query(
@@ -296,7 +296,7 @@ def _(spark, d):
         return sc.to_files(sc.rolled_up(lt.good_trades(lt.classify(stream)), _CFG, DAY_MS), out, ck, "window_start")
 
     _run(spark, dv.disordered(dv.events_trades(spark, d)), start)
-    return spark.read.parquet(out).drop("day")
+    return stores.read_written(spark, out, ROLLED_UP).drop("day")
 
 
 @query(

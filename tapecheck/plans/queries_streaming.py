@@ -12,6 +12,7 @@ from tapecheck.functions.timecols import bucket_start, wall_clock
 from tapecheck.operators import compare as cmp, letters as lt
 from tapecheck.plans import sqlparts as s
 from tapecheck.plans.catalog import query
+from tapecheck.schema import BARE_CANDLE, CANDLE, STORED_TRADE
 from tapecheck.settings import DAY_MS, HOUR_MS, CandleSettings, shared_dir
 from tapecheck.sources import derived as dv, derived_text as tx, stores, trades as tr
 from tapecheck.streaming import candles as sc, job, sinks
@@ -88,7 +89,7 @@ def _(spark, d):
         return sc.to_files(sc.window_candles(job.valid_trades(stream), _CFG), out, ck, "window_start")
 
     _run(spark, _disordered(spark, d), start)
-    return spark.read.parquet(out).drop("day")
+    return stores.read_written(spark, out, BARE_CANDLE).drop("day")
 
 
 @query(
@@ -105,7 +106,7 @@ def _(spark, d):
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     events = session.readStream.schema(schema).parquet(f"{d}/events.parquet*")
     sc.to_files(sc.window_candles(dv.trades_from_events(events), _CFG), out, ck, "window_start").awaitTermination()
-    return spark.read.parquet(out).drop("day")
+    return stores.read_written(spark, out, BARE_CANDLE).drop("day")
 
 
 def _stream_lineitem(spark, d, symbol: str):
@@ -151,7 +152,7 @@ def _(spark, d):
         job.land_block(records.filter(part), landing)
         stream = lt.good_trades(lt.classify(tr.landed_stream(session, landing)))
         sc.to_files(dv.stored_trades(stream), out, ck, "event_time").awaitTermination()
-    return spark.read.parquet(out).groupBy("kafka_partition").agg(F.count(F.lit(1)).alias("trades"))
+    return stores.read_written(spark, out, STORED_TRADE).groupBy("kafka_partition").agg(F.count(F.lit(1)).alias("trades"))
 
 
 def _strict(spark, d, lateness_ms: int = 0) -> StrictCandles:
@@ -242,7 +243,7 @@ def _(spark, d):
 def _(spark, d):
     paths = job.JobPaths(shared_dir(spark, "job"))
     _run(spark, _disordered(spark, d), lambda stream: job.start_archive(stream, paths))
-    return spark.read.parquet(paths.at("trades_raw")).drop("day")
+    return stores.read_written(spark, paths.at("trades_raw"), STORED_TRADE).drop("day")
 
 
 @query(
@@ -252,7 +253,7 @@ def _(spark, d):
 def _(spark, d):
     paths = job.JobPaths(shared_dir(spark, "job"))
     _run(spark, _disordered(spark, d), lambda stream: job.start_candles(stream, _CFG, paths))
-    return spark.read.parquet(paths.at("candles")).drop("day", "ingested_at")
+    return stores.read_written(spark, paths.at("candles"), CANDLE).drop("day", "ingested_at")
 
 
 _IN_ORDER = [s.TRADES, _wm("trades")]
@@ -270,7 +271,7 @@ def _(spark, d):
     paths = job.JobPaths(shared_dir(spark, "job"))
     _run(spark, dv.events_trades(spark, d), lambda stream: job.start_candles(stream, cfg, paths))
     return cmp.sink_comparison(
-        {"append": spark.read.parquet(paths.at("candles")), "by_batch": spark.read.parquet(paths.at("candles_second"))}
+        {"append": stores.read_written(spark, paths.at("candles"), CANDLE), "by_batch": spark.read.parquet(paths.at("candles_second"))}
     )
 
 
@@ -340,7 +341,7 @@ def crash_between_write_and_commit(spark, trades: DataFrame, cfg: CandleSettings
             except Exception:
                 if attempt == 2 or not crash.crashed:
                     raise
-    return {"append": spark.read.parquet(f"{base}/append"), "by_batch": spark.read.parquet(f"{base}/by_batch")}
+    return {"append": stores.read_written(spark, f"{base}/append", CANDLE), "by_batch": spark.read.parquet(f"{base}/by_batch")}
 
 
 @query(
@@ -386,7 +387,7 @@ def restart_modes(spark, trades: DataFrame, cfg: CandleSettings, stop_after: int
             run(f"{base}/late", store, f"{store}-ck2")
         else:
             run(f"{base}/all", store, f"{store}-ck2")
-        results[mode] = spark.read.parquet(store)
+        results[mode] = stores.read_written(spark, store, CANDLE)
     from tapecheck.operators.candles import candles
 
     newest = trades.agg(F.max("event_ms")).first()[0]

@@ -57,6 +57,17 @@ CANDLE = T.StructType(
     ]
 )
 
+#: What a window itself gives; run and write time are the store's.
+BARE_CANDLE = T.StructType([f for f in CANDLE.fields if f.name not in ("ingested_at", "run_id")])
+
+SESSION = T.StructType(
+    [T.StructField("symbol", T.StringType()), T.StructField("session_start", T.TimestampNTZType()), T.StructField("session_end", T.TimestampNTZType())]
+    + _OHLCV
+    + [T.StructField("trade_count", T.LongType())]
+)
+
+ROLLED_UP = T.StructType([*BARE_CANDLE.fields, T.StructField("windows", T.LongType())])
+
 OFFICIAL_CANDLE = T.StructType(
     [T.StructField("symbol", T.StringType()), T.StructField("window_start", T.TimestampNTZType())]
     + _OHLCV

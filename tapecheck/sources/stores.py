@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapecheck.settings import shared_dir
@@ -54,6 +55,17 @@ def read_days(spark: SparkSession, path: str, first_day: str | None = None, last
     return df
 
 
+def read_written(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What a stream has written to day folders so far. The schema is told, not read from the files: as long as no
+    row has been written there is none, and then the result is empty."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:  # no batch has run at all
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def retained(df: DataFrame, time_col: str, keep_days: int, as_of) -> DataFrame:
     """Rows a table still keeps at ``as_of`` (a timestamp column or value)."""
     limit = as_of - F.expr(f"INTERVAL {keep_days} DAYS")
