@@ -67,18 +67,21 @@ LOOKBACK_MS = 5 * 60_000
 
 
 def level(
-    samples: DataFrame, series: list[str], step_ms: int, tie: str, name: str = "level", lookback_ms: int = LOOKBACK_MS
+    samples: DataFrame, series: list[str], step_ms: int, tie: str, name: str = "level", lookback_ms: int = LOOKBACK_MS,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """Latest value of every series at every step at which it lives.
 
     A sample counts for ``lookback_ms``; a series without a younger one has no level, so a job that
     ended does not keep its last value. Each sample is spread over the steps up to the series' next one,
-    so the rows follow the samples and not series x steps.
+    so the rows follow the samples and not series x steps. The evaluation ends with the newest sample of
+    ``among`` (default: of ``samples``): selected series that fall silent keep their level while others go on.
     """
     per = samples.groupBy(*series, step_of("ts_ms", step_ms).alias("eval_ms")).agg(
         F.max_by("value", wide_arrival_key("ts_ms", tie)).alias(name), F.max("ts_ms").alias("at_ms")
     )
-    last = F.lit(per.agg(F.max("eval_ms")).first()[0]).cast("bigint")
+    ends = per.agg(F.max("eval_ms")) if among is None else among.agg(F.max(step_of("ts_ms", step_ms)))
+    last = F.lit(ends.first()[0]).cast("bigint")
     following = F.lead("eval_ms").over(_ordered(series)) - step_ms
     return (
         per.withColumn("until_ms", F.least(following, last, F.col("at_ms") + lookback_ms - 1))

@@ -107,7 +107,9 @@ def _(spark, d):
 
 
 def _group_lag(spark, d, prefix=""):
-    lv = mo.level(mo.selected(_m(spark, d, "group_lag"), "grp", prefix), ["grp", "part"], STEP, "event_id", lookback_ms=LOOKBACK)
+    lags = _m(spark, d, "group_lag")
+    of = mo.selected(lags, "grp", prefix)
+    lv = mo.level(of, ["grp", "part"], STEP, "event_id", lookback_ms=LOOKBACK, among=lags if prefix else None)
     return lv.groupBy("grp", "eval_ms").agg(F.sum("level").alias("lag"))
 
 

@@ -7,6 +7,7 @@ from __spark_entry__ import oracle_sql, queries
 from tapecheck.settings import shared_dir
 from tapecheck.streaming import candles as sc, sinks
 from tapecheck.streaming.sequence import numbered
+from tests.oracle import differences
 
 
 class DefaultStore:
@@ -51,3 +52,16 @@ def test_streams_that_close_nothing_are_empty(spark, crowded, name):
     got = queries()[name](spark, crowded)
     assert sorted(got.columns) == sorted(c[0] for c in want.description)
     assert got.collect() == want.fetchall() == []
+
+
+def test_selected_groups_are_judged_until_the_last_sample_of_all(spark, sf_dir, tmp_path):
+    """The candles group (even ids) ends with a growing lag, the other group goes on for an hour."""
+    duckdb.sql(
+        f"""COPY (SELECT event_id, TIMESTAMP '2024-01-01 00:00:00.5' + to_seconds(CAST(event_id * 30 AS DOUBLE)) AS ts, user_id, event_type, value, props
+            FROM '{sf_dir}/events.parquet' WHERE event_id < 900 AND (event_id < 780 OR event_id % 2 = 1)) TO '{tmp_path}/events.parquet'"""
+    )
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    for name in ("mon5_lag_growing_selected", "mon5_lag_growing"):
+        err = differences(spark, con, str(tmp_path), name, queries()[name], oracle_sql()[name])
+        assert err is None, (name, err)
