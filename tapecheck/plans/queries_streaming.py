@@ -6,6 +6,8 @@ caught up. The SQL next to each query computes the same outcome from the rules a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, functions as F
 
 from tapecheck.functions.timecols import bucket_start, wall_clock
@@ -28,21 +30,27 @@ def _with_block(trades: DataFrame) -> DataFrame:
     return trades.withColumn("block", F.expr(f"(ingest_ms + {_BLOCK_SHIFT}) div {_BLOCK_MS}"))
 
 
-def _records(trades: DataFrame) -> DataFrame:
+def _records(trades: DataFrame, *more: str) -> DataFrame:
     return trades.select(
         F.col("symbol").alias("key"), tr.wire_json().alias("value"), F.col("kafka_partition").alias("partition"),
-        F.col("event_id").alias("offset"),
+        F.col("event_id").alias("offset"), *more,
     )
 
 
+def _landed_blocks(spark, trades: DataFrame, landing: str) -> Iterator[int]:
+    """Land one block after the other; the trades are read once for all of them."""
+    staged = shared_dir(spark, "staged")
+    for b in job.stage_blocks(_records(_with_block(trades), "block"), staged):
+        job.land_staged(spark, staged, b, landing)
+        yield b
+
+
 def _run(spark, trades: DataFrame, start, landing: str | None = None) -> None:
     """Land each block, then let ``start(stream)`` run until it has read everything landed."""
     landing = landing or shared_dir(spark, "landing")
     session = sc.stream_session(spark)
-    t = _with_block(trades)
-    for b in job.blocks(t):
-        job.land_block(_records(t.filter(F.col("block") == b)), landing)
-        start(tr.landed_stream(session, landing)).awaitTermination()
+    for _ in _landed_blocks(spark, trades, landing):
+        start(tr.landed_stream(session, f"{landing}/*", fmt="parquet")).awaitTermination()
 
 
 def _wm(source: str, delay: int = 5_000) -> str:
@@ -329,12 +337,10 @@ def crash_between_write_and_commit(spark, trades: DataFrame, cfg: CandleSettings
     base, landing = shared_dir(spark, "crash"), shared_dir(spark, "landing")
     crash = _CrashOnce(sinks.append_only(f"{base}/append"), sinks.by_batch(f"{base}/by_batch"), in_block)
     session = sc.stream_session(spark)
-    t = _with_block(trades)
-    for n, b in enumerate(job.blocks(t)):
-        job.land_block(_records(t.filter(F.col("block") == b)), landing)
+    for n, _ in enumerate(_landed_blocks(spark, trades, landing)):
         crash.block = n
         for attempt in (1, 2):
-            out = sinks.candle_row(sc.window_candles(job.valid_trades(tr.landed_stream(session, landing)), cfg), cfg.run_id)
+            out = sinks.candle_row(sc.window_candles(job.valid_trades(tr.landed_stream(session, f"{landing}/*", fmt="parquet")), cfg), cfg.run_id)
             try:
                 sc.to_batches(out, crash, f"{base}/ck").awaitTermination()
                 break

@@ -40,12 +40,12 @@ def kafka_stream(spark: SparkSession, cfg: CandleSettings, max_per_trigger: int
     return r.load().select(F.col("key").cast("string"), F.col("value").cast("string"), "partition", "offset")
 
 
-def landed_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The same relation from JSON files, in file order."""
+def landed_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None, fmt: str = "json") -> DataFrame:
+    """The same relation from files, in file order."""
     r = spark.readStream.schema(LANDED)
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
-    return r.json(path)
+    return r.format(fmt).load(path)
 
 
 def landed_batch(spark: SparkSession, path: str) -> DataFrame:

@@ -96,7 +96,28 @@ def land_block(records: DataFrame, path: str) -> None:
     records.write.mode("append").json(path)
 
 
+def stage_blocks(records: DataFrame, path: str, block: str = "block") -> list[int]:
+    """Write the records of all arrival blocks in one pass, one folder a block; returns the blocks' numbers, in order.
+
+    The files are columnar: a fraction of the text and cheaper to read. Nothing reads them before ``land_staged``. Records without an arrival time are in no block.
+    """
+    records.write.partitionBy(block).parquet(path)
+    folder = records.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(records.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    names = [x.getPath().getName().removeprefix(f"{block}=") for x in fs.listStatus(folder)]
+    return sorted(int(n) for n in names if n.lstrip("-").isdigit())
+
+
+def land_staged(spark: SparkSession, staged: str, number: int, landing: str, block: str = "block") -> None:
+    """Land one staged block: its folder becomes ``landing/number``, and no record is written again. Streams read ``landing/*``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(landing).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(landing))
+    if not fs.rename(path(f"{staged}/{block}={number}"), path(f"{landing}/{number}")):
+        raise OSError(f"block {number} was not landed")
+
+
 __all__ = [
-    "JobPaths", "blocks", "land_block", "progress_samples", "start_archive", "start_candles",
+    "JobPaths", "blocks", "land_block", "land_staged", "progress_samples", "stage_blocks", "start_archive", "start_candles",
     "start_dead_letters", "valid_trades", "wall_clock", "with_day",
 ]

@@ -4,8 +4,10 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from tapecheck.plans.queries_streaming import _records, _run, _with_block
 from tapecheck.settings import shared_dir
-from tapecheck.streaming import candles as sc, sinks
+from tapecheck.sources import derived as dv
+from tapecheck.streaming import candles as sc, job, sinks
 from tapecheck.streaming.sequence import numbered
 from tests.oracle import differences
 
@@ -65,3 +67,19 @@ def test_selected_groups_are_judged_until_the_last_sample_of_all(spark, sf_dir,
     for name in ("mon5_lag_growing_selected", "mon5_lag_growing"):
         err = differences(spark, con, str(tmp_path), name, queries()[name], oracle_sql()[name])
         assert err is None, (name, err)
+
+
+def test_blocks_are_landed_in_one_pass_and_one_by_one(spark, sf_dir, monkeypatch):
+    """The trades are read once whatever the number of blocks; each run of the stream finds one more block."""
+    trades = dv.disordered(dv.events_trades(spark, sf_dir))
+    want = {r[0]: r[1] for r in _with_block(trades).groupBy("block").count().collect()}
+    passes, stage = [], job.stage_blocks
+    monkeypatch.setattr(job, "stage_blocks", lambda *a, **k: passes.append(1) or stage(*a, **k))
+    monkeypatch.setattr(job, "land_block", lambda *a: pytest.fail("a block was written by a pass of its own"))
+    landing, out, ck = shared_dir(spark, "landing"), shared_dir(spark, "read"), shared_dir(spark, "ck")
+    _run(spark, trades, lambda stream: sc.to_batches(stream, sinks.by_batch(out), ck), landing)
+    sizes = {r[0]: r[1] for r in spark.read.parquet(out).groupBy("batch_id").count().collect()}
+    assert [sizes[b] for b in sorted(sizes)] == [want[b] for b in sorted(want)]
+    assert len(want) > 3 and len(passes) == 1
+    got = spark.read.parquet(out).drop("batch_id")
+    assert got.exceptAll(_records(trades)).isEmpty() and got.count() == trades.count()
