@@ -35,6 +35,9 @@ ROWS, BANDS = 6, 16
 #: Characters that are written without spaces between words: Thai to Lao, Burmese, Khmer, Chinese and Japanese.
 SPACELESS = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 
+#: Bytes whose shingles are made together, so that their arrays stay in a processor's cache; a longer line is a piece of its own.
+PIECE = 1 << 16
+
 U = np.uint64
 
 
@@ -60,14 +63,16 @@ def _shingles(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray
     code = code.astype(np.uint64)
     at = np.searchsorted(np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data)), off) if wide else np.asarray(off)
     length = np.diff(at)
-    row = np.repeat(np.arange(len(length)), length)
+    row = np.repeat(np.arange(len(length)), np.maximum(length - width + 1, 0))
     places = len(code) - width + 1
     h = np.zeros(max(places, 0), dtype=np.uint64)
     for k in range(width if places > 0 else 0):
         h *= U(0x9E3779B97F4A7C15)
         h += code[k : k + places]
-    inside = np.flatnonzero(row[:places] == row[width - 1 :]) if places > 0 else np.zeros(0, np.int64)
-    h, row = batches.mix(h[inside]), row[inside]
+    inside = np.ones(len(code) + width - 1, dtype=bool)
+    for k in range(width - 1):  # the last places of each row; those before the first one are not places
+        inside[at[1:] + k] = False
+    h = batches.mix(h[inside[width - 1 : width - 1 + len(h)]])
     if (short := np.flatnonzero((length > 0) & (length < width))).size:
         sums = batches.prefix_hashes(data)
         h = np.concatenate((h, batches.span_hashes(sums, off[short], off[short + 1])))
@@ -80,7 +85,7 @@ def _shingles(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray
 def shingle_hashes(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of every shingle of each normalised line."""
     texts, found = batches.texts_of(texts), []
-    for at, _, data, off in batches.chunks(texts):
+    for at, _, data, off in batches.chunks(texts, PIECE):
         h, row = _shingles(data, off, width)
         found.append((h, row + at))
     if not found:
@@ -96,12 +101,15 @@ def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.
 
 def signatures(data: np.ndarray, off: np.ndarray, bins: int, width: int = SHINGLE) -> np.ndarray:
     """A value for each (line, bin): the smallest hash among the line's shingles of that bin."""
-    rows = len(off) - 1
-    h, row = _shingles(data, off, width)
+    rows, at = len(off) - 1, 0
     none = ~U(0)
     out = np.full(rows * bins, none, dtype=np.uint64)
-    # the upper bits choose the bin, the lower ones are the value
-    np.minimum.at(out, row * bins + (((h >> U(40)) * U(bins)) >> U(24)).astype(np.int64), h & U((1 << 40) - 1))
+    while at < rows:
+        end = max(at + 1, int(np.searchsorted(off, off[at] + PIECE, side="right")) - 1)
+        h, row = _shingles(data[off[at] : off[end]], off[at : end + 1] - off[at], width)
+        # the upper bits choose the bin, the lower ones are the value
+        np.minimum.at(out, (row + at) * bins + (((h >> U(40)) * U(bins)) >> U(24)).astype(np.int64), h & U((1 << 40) - 1))
+        at = end
     out = out.reshape(rows, bins)
     filled = out != none
     todo_row, todo_bin = np.nonzero(~filled & filled.any(axis=1)[:, None])
@@ -224,7 +232,7 @@ def line_dedup(docs: DataFrame, threshold: float = THRESHOLD, min_words: int = M
 
     # the array of lines is bound once; named inside the lambda it would be split anew for each line
     text = F.get(F.transform(F.array(F.split("text", "\n", -1)), left), 0)
-    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     out = own.join(gone, ["k1", "k2"], "left").select(
         *[F.col("row")[c].alias(c) for c in docs.columns if c not in ("text", "n_lines", "n_removed")],
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(text).alias("text"),

@@ -5,7 +5,8 @@ Two texts of similarity s agree in a share s of the values and in one of 256 oth
 ``AGREE`` of them are far below 0.8: at 0.8 that is more than four standard deviations off. Texts are joined and
 compared exactly for the rest only.
 
-1. Each band is reduced to its smallest and largest node; most bands have one member and end here. A bounded
+1. Each band is reduced to its smallest and largest node; most bands have one member and end here. They travel packed by
+   slices of the range of bands, reduced before and after, so that a band of any size is a row or two for each part. A bounded
    bitmap of the others (``tables.Sieve``) drops nearly all single band rows before the second shuffle; an exact join follows.
 2. Each member of a shared bucket is compared with the bucket's centre, and union-find joins what is linked.
 3. Buckets that still hold several components: those of up to ``SMALL`` members are one row each, and many of them are decided in one
@@ -27,6 +28,8 @@ from tapecheck.llm.tables import Sieve, forget, stored
 WIDTH, AGREE = 60, 0.5
 #: Members of a bucket that is one row.
 SMALL = 32
+#: Pairs (band, node) that are packed together, lines whose bands are one slice, and slices at least.
+PACKED, SLICE, SLICES = 1 << 20, 1 << 16, 1 << 8
 
 PAIR = "a bigint, b bigint"
 
@@ -133,12 +136,67 @@ def _worth(group: pa.Table) -> pa.Table:
     return group.drop(["sketch"]).filter(pa.array(wanted))
 
 
+def _pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(band, node) of each band of each node."""
+    lists = batch["bands"]
+    return lists.flatten().to_numpy(), np.repeat(batch["node"].to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False))
+
+
+def _ends(band: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each different band in order, with its smallest and its largest node."""
+    order = np.argsort(band)
+    band, node = band[order], node[order]
+    first = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1])))
+    return band[first], np.minimum.reduceat(node, first), np.maximum.reduceat(node, first)
+
+
+def _packed(slices: int):
+    """(slice, band, node): the bands of each slice, as one value, with the smallest and the largest node of each."""
+    edges = np.arange(slices, dtype=np.uint64) << np.uint64(65 - slices.bit_length())
+
+    def pack(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        band, low, high = _ends(np.concatenate([band for band, _ in parts]).view(np.uint64), np.concatenate([node for _, node in parts]))
+        times = 1 + (low < high)
+        band, node = np.repeat(band, times), np.repeat(low, times)
+        node[np.cumsum(times) - 1] = high
+        ends = np.append(np.searchsorted(band, edges), len(band)).astype(np.int32)
+        values = [pa.Array.from_buffers(pa.binary(), slices, [None, pa.py_buffer(ends * np.int32(8)), pa.py_buffer(x)]) for x in (band, node)]
+        out = pa.RecordBatch.from_arrays([pa.array(np.arange(slices, dtype=np.int32)), *values], names=["slice", "band", "node"])
+        return out.filter(pa.array(np.diff(ends) > 0))
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, n = [], 0
+        for batch in rows:
+            parts.append(_pairs(batch))
+            n += len(parts[-1][0])
+            if n >= PACKED:
+                yield pack(parts)
+                parts, n = [], 0
+        if n:
+            yield pack(parts)
+
+    return run
+
+
+def _centres(group: pa.Table) -> pa.Table:
+    """Of a slice: the bands that several nodes share, with the smallest of these."""
+    band, node = (np.frombuffer(b"".join(group[c].to_pylist()), dtype=kind) for c, kind in (("band", np.uint64), ("node", np.int64)))
+    band, low, high = _ends(band, node)
+    shared = low < high
+    return pa.table({"band": pa.array(batches.signed(band[shared])), "centre": pa.array(low[shared])})
+
+
+def shared_bands(own: DataFrame, lines: int) -> DataFrame:
+    """(band, centre) of the bands that several nodes share; ``own`` (node, bands) has about ``lines`` rows."""
+    slices = max(SLICES, 1 << (lines // SLICE).bit_length())
+    packed = own.select("node", "bands").mapInArrow(_packed(slices), "slice int, band binary, node binary")
+    return packed.groupBy("slice").applyInArrow(_centres, "band bigint, centre bigint")
+
+
 def _through_sieve(sieve: Sieve):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            lists = batch["bands"]
-            band = lists.flatten().to_numpy()
-            node = np.repeat(batch["node"].to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False))
+            band, node = _pairs(batch)
             ok = sieve.passes(band.view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(band[ok]), pa.array(node[ok])], names=["band", "node"])
 
@@ -166,9 +224,7 @@ def link(scanned: DataFrame, texts_of: Callable[[DataFrame], DataFrame], hashes:
     them. ``texts_of`` returns (node, text), each node once, for a stored table of nodes.
     """
     own = scanned.where(F.size("bands") > 0)
-    bands = own.select(F.explode("bands").alias("band"), "node")
-    shared = bands.groupBy("band").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre < last")
-    shared = stored(shared.select("band", "centre"), "shared-bands")
+    shared = stored(shared_bands(own, scanned.count()), "shared-bands")
     kept = own.select("node", "bands").mapInArrow(_through_sieve(Sieve(shared, "band")), "band bigint, node bigint")
     crowd = stored(kept.join(shared, "band").distinct(), "crowd")
     nodes = stored(crowd.select("node").distinct(), "nodes")

@@ -212,3 +212,52 @@ def test_sieve_never_loses_a_member(spark):
     sieve = Sieve(nodes, "node")
     assert sieve.passes(own).all()
     assert sieve.passes(batches.mix(np.arange(100_000, dtype=np.uint64))).mean() < 0.01
+
+
+@pytest.mark.parametrize("slices", [2, 64])
+def test_shared_bands_travel_packed(spark, monkeypatch, slices):
+    """Bands are reduced part by part and packed: the shuffle gets a row for each slice of a part, not for each band."""
+    from tapecheck.llm import sketches
+
+    monkeypatch.setattr(sketches, "SLICES", slices)
+    monkeypatch.setattr(sketches, "PACKED", 1000)
+    rng = random.Random(4)
+    some = [rng.randrange(-(2**63), 2**63) for _ in range(3000)] + [-(2**63), -1, 0, 1, 2**63 - 1]
+    # a band that all nodes share, nodes that repeat with and without bands
+    rows = [(n, [7, *rng.choices(some, k=rng.randrange(6))]) for n in rng.sample(some, 900)]
+    rows += [(n, rng.choice([[], b, b])) for n, b in rng.choices(rows, k=300)]
+    members = {}
+    for n, bands in rows:
+        for b in bands:
+            members.setdefault(b, set()).add(n)
+    want = {b: min(x) for b, x in members.items() if len(x) > 1}
+    own = spark.createDataFrame(rows, "node bigint, bands array<bigint>")
+    assert {r.band: r.centre for r in sketches.shared_bands(own, len(rows)).collect()} == want and len(want) > 300
+    parts = pa.table({"node": [n for n, _ in rows], "bands": pa.array([b for _, b in rows], pa.list_(pa.int64()))}).to_batches(100)
+    packed = list(sketches._packed(slices)(iter(parts)))
+    assert sum(len(p) for p in packed) <= slices * len(packed) < sum(len(b) for _, b in rows) / 2
+    hot = np.concatenate([np.frombuffer(x, np.int64) for p in packed for x in p["band"].to_pylist()]) == 7
+    assert 2 < len(packed) and hot.sum() <= 2 * len(packed)
+    table = pa.Table.from_batches(packed)
+    found = [sketches._centres(table.filter(pa.compute.equal(table["slice"], k))) for k in range(slices) if k in table["slice"].to_pylist()]
+    assert {b: c for t in found for b, c in zip(*t.to_pydict().values(), strict=True)} == want
+
+
+def test_signatures_are_made_in_pieces(monkeypatch):
+    """The same values whatever a piece holds, and work arrays that do not grow with the part."""
+    import tracemalloc
+
+    rng = random.Random(9)
+    pool = ["".join(rng.choices("abé 天", k=rng.choice([0, 1, 3, 4, 5, 6, 9, 200]))) for _ in range(300)]
+    (_, _, data, off), = batches.chunks(batches.texts_of(pa.array(pool)))
+    whole = lines.signatures(data, off, 12)
+    for piece in (1, 50, 700):
+        monkeypatch.setattr(lines, "PIECE", piece, raising=False)
+        assert (lines.signatures(data, off, 12) == whole).all()
+    monkeypatch.undo()
+    (_, _, data, off), = batches.chunks(batches.texts_of(pa.array(["some words of a line " * 100] * 400)))
+    tracemalloc.start()
+    out = lines.signatures(data, off, 96)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * out.nbytes + (8 << 20)
