@@ -29,7 +29,7 @@ WIDTH, AGREE = 60, 0.5
 #: Members of a bucket that is one row.
 SMALL = 32
 #: Pairs (band, node) that are packed together, lines whose bands are one slice, and slices at least.
-PACKED, SLICE, SLICES = 1 << 20, 1 << 16, 1 << 8
+PACKED, SLICE, SLICES = 1 << 20, 1 << 14, 1 << 11
 
 PAIR = "a bigint, b bigint"
 
